@@ -99,6 +99,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """docs as the mix has them: every row as often as it was taken, all columns."""
+    plan = mix(docs, **options).select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_copies"))
+    place = Window.partitionBy("_mix_id", "_mix_source", "_mix_size")  # rows alike in all three are told apart by number
+    plan = plan.withColumn("_nth", F.row_number().over(place.orderBy(F.col("_copies").desc()))).where("_copies > 0")
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("_mix_id"), F.col("source").cast("string").alias("_mix_source"), word_count(F.col("text")).alias("_mix_size"))
+    rows = rows.withColumn("_nth", F.row_number().over(place.orderBy(F.xxhash64("text"))))
+    rows, plan = rows.alias("d"), plan.alias("p")
+    same = F.col("d._mix_id").eqNullSafe(F.col("p._mix_id")) & F.col("d._mix_source").eqNullSafe(F.col("p._mix_source")) & (F.col("d._mix_size") == F.col("p._mix_size")) & (F.col("d._nth") == F.col("p._nth"))
+    joined = rows.join(plan, same).select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("p._copies"))).alias("_time"))
+    return joined.drop("_time")
+
+
 def oracle(share: float = SHARE) -> str:
     """The same mix in DuckDB SQL, with plain window sums."""
     return f"""

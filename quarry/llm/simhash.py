@@ -29,7 +29,7 @@ LONG_KEYS_FROM = 1 << 25
 
 
 def fingerprint_rows(shingle: int = SHINGLE, seed: int = SEED):
-    """A mapInArrow function: (doc_id, text) -> (doc_id, fp)."""
+    """A mapInArrow function: adds _fp to the columns."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -58,9 +58,9 @@ def fingerprint_rows(shingle: int = SHINGLE, seed: int = SEED):
             return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little", signed=True)
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
             fps = [fingerprint(texts[k].as_py() or b"") for k in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], names=[*batch.schema.names, "_fp"])
 
     return run
 
@@ -182,18 +182,39 @@ def links(distinct: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KE
     return arrow_map(grouped, forest(), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
-    """One row per row of docs: doc_id, fp (the fingerprint as a signed long), component_id.
+def with_fingerprints(docs: DataFrame) -> DataFrame:
+    """docs (text and any other columns) with _fp."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return arrow_map(docs, fingerprint_rows(), schema + ", _fp long")
 
-    Null and empty texts, and texts of white space, have fingerprint zero. Repeated rows and exact copies share a
-    fingerprint. A null doc_id is never a component's id unless all its ids are null. Empty table: no rows."""
-    fps = stage(arrow_map(doc_text(docs), fingerprint_rows(), "doc_id long, fp long"), "simhash-fps")
+
+def groups(fps: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
+    """(doc_id, fp) -> (fp, component_id), one row per fingerprint."""
     nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     comp = connected_components(links(nodes, block, long_keys_from))
     named = nodes.join(comp, nodes["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "component").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return named.join(ids, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
+    """One row per row of docs: doc_id, fp (the fingerprint as a signed long), component_id.
+
+    Null and empty texts, and texts of white space, have fingerprint zero. Repeated rows and exact copies share a
+    fingerprint. A null doc_id is never a component's id unless all its ids are null. Empty table: no rows."""
+    fps = stage(with_fingerprints(doc_text(docs)).select("doc_id", F.col("_fp").alias("fp")), "simhash-fps")
+    return fps.join(groups(fps, block, long_keys_from), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
+    """docs with one document of each near-duplicate group, that with the least doc_id (null ids last); all columns stay. Of rows with the same
+    doc_id in a group one stays."""
+    all_ = stage(with_fingerprints(docs), "simhash-docs")
+    fps = all_.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_fp").alias("fp"))
+    first = fps.join(groups(fps, block, long_keys_from), "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))).alias("x"))
+    first = first.select(F.col("x.doc_id").alias("_keep_id"), F.col("x.fp").alias("_keep_fp"))
+    kept = all_.join(first.hint("shuffle_hash"), (F.col("_fp") == F.col("_keep_fp")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")), "left_semi")
+    return kept.dropDuplicates(["_fp", "doc_id"]).drop("_fp")
 
 
 def hex_digits(fp):
