@@ -51,9 +51,31 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def release_memory() -> None:
+    """Gives a worker's free memory back. An executor keeps more idle Python workers than it has cores and takes them in turn, so
+    what each of them holds on to after a task adds up."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """mapInArrow with batches of bounded size; the worker's memory is released after each task."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from fn(batches)
+        release_memory()
+
     bounded_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def doc_text(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stage
+from .common import arrow_map, stage
 
 MIN_LINES, MIN_WORDS = 3, 50
 WINDOWS = "doc_id long, text_hash long, line int, stop int, at int, fp long, window_hash long, before array<long>, after array<long>"
@@ -73,8 +73,7 @@ def common_lead(a: str, b: str):
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, runs): the later runs of each document, [first, last] by lines that aren't blank, and the place each repeats.
     docs: doc_id, text_hash, text. "Earlier" is by doc_id, then by line; a null doc_id is before all others."""
-    bounded_batches(docs.sparkSession)
-    rows = stage(docs.select("doc_id", "text_hash", "text").mapInArrow(window_rows(min_lines, min_words), WINDOWS), "lines-windows")
+    rows = stage(arrow_map(docs.select("doc_id", "text_hash", "text"), window_rows(min_lines, min_words), WINDOWS), "lines-windows")
     place = F.struct("doc_id", "text_hash", "line", "stop", "before", "after")
     first = rows.groupBy("fp", "window_hash").agg(F.min(place).alias("src"), F.count("*").alias("n")).where("n > 1").drop("n")
     found = rows.join(first, ["fp", "window_hash"]).where(~(F.col("doc_id").eqNullSafe(F.col("src.doc_id")) & (F.col("text_hash") == F.col("src.text_hash")) & (F.col("line") == F.col("src.line"))))
@@ -139,5 +138,4 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
     runs = runs.select(F.col("doc_id").alias("_run_doc"), F.col("text_hash").alias("_run_hash"), F.col("runs").alias("_runs"))
     own = docs.join(runs.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_run_doc")) & (key == F.col("_run_hash")), "left").select(*[docs[c] for c in docs.columns], F.col("_runs"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_lines int, _n_deleted int, _deleted_words long"
-    bounded_batches(docs.sparkSession)
-    return own.mapInArrow(delete_runs("text"), schema)
+    return arrow_map(own, delete_runs("text"), schema)
