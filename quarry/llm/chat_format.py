@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 ASSISTANT = "assistant"
 #: Control strings of the format; those of common chat templates are escaped with them.
 CONTROL = "<(?=/?s>|\\||/?SYS>)|\\[(?=/?INST\\])"
-#: Tokens of attachments: pixels along a side of an image patch, audio tokens a second, tokens of a document page.
+#: Tokens of attachments: side of an image patch, audio tokens a second, tokens of a document page.
 PATCH, AUDIO_RATE, PAGE_TOKENS = 28, 25.0, 1024
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 

@@ -25,8 +25,8 @@ from .components import connected_components
 THRESHOLD = 0.93
 #: Similarity from which the search goes on from a vector; margin under the threshold.
 MARGIN = 0.1
-#: Vectors for each centroid, centroids at most, and the bounded sample that they are chosen from.
-PER_CENTROID, MAX_CENTROIDS, SAMPLE = 4096, 1024, 16384
+#: Vectors for each centroid; centroids at most; least and greatest size of the sample that they are chosen from (8 for each centroid between).
+PER_CENTROID, MAX_CENTROIDS, SAMPLE, MAX_SAMPLE = 4096, 16384, 16384, 131_072
 #: Members of a shard, or of each of a pair of blocks.
 CAP = 2048
 #: Out-edges, far edges among them, near candidates, pruning factor, beam, medoids.
@@ -390,8 +390,9 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     rows, nodes = prepare(embeddings)
     n = nodes.count()
     hashed = F.pmod(F.xxhash64("h2"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = nodes.where(hashed < F.lit(min(1.0, SAMPLE / max(1, n)))).orderBy("h2", "h1").select("v").collect()
     k, by_size = min(MAX_CENTROIDS, max(1, -(-n // per_centroid))), {}
+    wanted = min(MAX_SAMPLE, max(SAMPLE, 8 * k))
+    sample = nodes.where(hashed < F.lit(min(1.0, wanted / max(1, n)))).orderBy("h2", "h1").select("v").collect()
     for r in sample:
         by_size.setdefault(len(r["v"]), []).append(bytes(r["v"]))
     centroids = {d: choose_centroids(matrix(v), k) for d, v in by_size.items()}
