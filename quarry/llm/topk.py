@@ -3,10 +3,11 @@
 Vectors are range-partitioned by descending length into slabs. A task meets one block of queries with one slab and walks the slab from
 its longest vector on. Cauchy-Schwarz bounds end the walk for a query: |q| |x| below its k-th best score so far. In
 the slab's SVD basis, where the first coordinates hold most of the length, a partial sum plus the product of what is left of both
-lengths bounds every single product; only what may still reach the k-th best is computed in full, in integers. The k best of
-the very longest vectors give every query a bound to start with.
+lengths bounds every single product; what may still reach the k-th best is computed in full, in integers: pair by pair, or, where
+the bounds leave many pairs of a step, as one product of matrices. The k best of the very longest vectors give every query a
+bound to start with.
 
-Queries meet candidates in blocks, and a pair of blocks returns k rows a query at most.
+Queries meet candidates in blocks, and a pair of blocks returns k rows a query at most, none below the query's first bound.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from .common import arrow_map, stage
 
 K, QUERY_MOD, SCALE = 20, 20, 64
 #: Candidates of a slab, queries of a block, vectors that are looked at together, longest vectors that give the first bounds.
-SLAB, BLOCK, STEP, SEEDS = 16384, 1024, 1024, 1024
+SLAB, BLOCK, STEP, SEEDS = 16384, 4096, 1024, 1024
+#: Share of a step's pairs that pass the bound from which the whole step is computed.
+DENSE = 0.02
 #: Inner products below this are exact in doubles.
 EXACT = float(1 << 53)
 
@@ -81,6 +84,12 @@ class Best:
         self.least[self.q[last]] = np.maximum(self.least[self.q[last]], self.scores[last].astype(np.float64))
 
 
+def distinct(q_ids: np.ndarray, x_ids: np.ndarray, a: np.ndarray, b: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, score) without the queries' own ids."""
+    other = q_ids[a] != x_ids[b]
+    return a[other], x_ids[b[other]], scores[other]
+
+
 def search(q_ids: np.ndarray, q: np.ndarray, start: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k: int, step: int = STEP) -> Best:
     """x: candidates by descending length. start: a lower bound of each query's k-th score."""
     best = Best(len(q), k)
@@ -93,6 +102,7 @@ def search(q_ids: np.ndarray, q: np.ndarray, start: np.ndarray, x_ids: np.ndarra
     head = max(1, x.shape[1] // 4)
     rq, rx = q @ basis, x @ basis
     q_rest, x_rest = np.sqrt((rq[:, head:] ** 2).sum(axis=1)), np.sqrt((rx[:, head:] ** 2).sum(axis=1))
+    exact = float(np.abs(q).max() * np.abs(x).max()) * x.shape[1] < EXACT
     slack = 1e-9 * float(q_norm.max()) * float(x_norm.max()) + 1e-6
     for lo in range(0, len(x), step):
         on = np.flatnonzero(q_norm * x_norm[lo] >= best.least - slack)
@@ -100,13 +110,18 @@ def search(q_ids: np.ndarray, q: np.ndarray, start: np.ndarray, x_ids: np.ndarra
             break  # all further vectors are shorter
         hi = min(len(x), lo + step)
         bound = rq[on, :head] @ rx[lo:hi, :head].T + q_rest[on, None] * x_rest[None, lo:hi]
-        a, b = np.nonzero(bound >= best.least[on, None] - slack)
-        a, b = on[a], b + lo
-        other = q_ids[a] != x_ids[b]
-        a, b = a[other], b[other]
+        alive = bound >= best.least[on, None] - slack
+        if exact and alive.mean() > DENSE:  # then one product of matrices is cheaper than many of vectors; all its sums are whole numbers
+            full = q[on] @ x[lo:hi].T
+            a, b = np.nonzero(alive & (full >= best.least[on, None]))
+            best.add(*distinct(q_ids, x_ids, on[a], b + lo, full[a, b].astype(np.int64)))
+            continue
+        a, b = np.nonzero(alive)
         for part in range(0, len(a), 1 << 17):
-            pa_, pb = a[part : part + (1 << 17)], b[part : part + (1 << 17)]
-            best.add(pa_, x_ids[pb], products(q[pa_], x[pb]))
+            qa, xb = on[a[part : part + (1 << 17)]], b[part : part + (1 << 17)] + lo
+            scores = products(q[qa], x[xb])
+            able = scores.astype(np.float64) >= best.least[qa]
+            best.add(*distinct(q_ids, x_ids, qa[able], xb[able], scores[able]))
     return best
 
 
