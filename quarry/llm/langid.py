@@ -30,31 +30,37 @@ KEPT_WORDS, FLUSH_WORDS = 300_000, 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Feature numbers of a lower-case word. The first FEATURES // 16 numbers are the lexicons', the rest hashed affixes and n-grams."""
-    import zlib
-
-    base = FEATURES // 16
-    w = f"^{word}$"
-    grams = {w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)}
-    names = [f"<{word[:n]}" for n in (1, 2, 3)] + [f">{word[-n:]}" for n in (1, 2, 3, 4)]
-    out = [base + zlib.crc32(g.encode("utf-8", "replace")) % (FEATURES - base) for g in (*names, *sorted(grams))]
-    if word in lexicon:
-        out.append(lexicon[word])
-    return out
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, word number) of lower-case words, all at once. With marks at both ends of a word, its letter 2- to 4-grams have its affixes
+    among them; suffixes of 4 letters come on top. Lexicons have the numbers from FEATURES on."""
+    points = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+    owner = np.cumsum(points == ord("^")) - 1
+    grams, owners = [], []
+    for n in (2, 3, 4, 5):
+        m = len(points) - n + 1
+        if m <= 0:
+            break
+        h = np.full(m, n, np.uint64)
+        for k in range(n):
+            h = (h * np.uint64(1_000_003)) ^ points[k : k + m]
+        inside = owner[:m] == owner[n - 1 :]
+        if n == 5:
+            inside &= points[n - 1 :] == ord("$")
+        grams.append(((h[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 16)).astype(np.int64) % FEATURES)
+        owners.append(owner[:m][inside])
+    known = [(FEATURES + lexicon[w], i) for i, w in enumerate(words) if w in lexicon]
+    grams.append(np.array([f for f, _ in known], np.int64))
+    owners.append(np.array([i for _, i in known], np.int64))
+    return np.concatenate(grams), np.concatenate(owners)
 
 
 def emissions(words: list[str], weights: np.ndarray, lexicon: dict[str, int]) -> np.ndarray:
-    """Label scores of words, by the mean of their n-gram weights plus their lexicon's."""
-    flat, offsets, scale = [], [], []
-    for word in words:
-        f = word_features(word, lexicon)
-        offsets.append(len(flat))
-        flat.extend(f)
-        scale.append(len(f) ** -0.5)
+    """Label scores of words: the sum of their features' weights over the root of their number."""
     if not words:
         return np.zeros((0, weights.shape[1]), np.float32)
-    return (np.add.reduceat(weights[flat], offsets, axis=0) * np.array(scale)[:, None]).astype(np.float32)
+    flat, owner = word_features(words, lexicon)
+    scale = np.maximum(1, np.bincount(owner, minlength=len(words))) ** -0.5
+    return np.stack([np.bincount(owner, weights[flat, j], len(words)) * scale for j in range(weights.shape[1])], axis=1).astype(np.float32)
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, pairs: bool = False):
@@ -89,7 +95,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
 
 
 def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
-    """samples: (language, words of a stretch). Returns the model: labels, weights [FEATURES, labels], transitions, lexicon.
+    """samples: (language, words of a stretch). Returns the model: labels, weights [FEATURES + labels, labels], transitions, lexicon.
 
     A quarter of the stretches are spliced from two, so that the chain learns that languages do change, and how seldom."""
     labels = sorted({lang for lang, _ in samples})
@@ -99,17 +105,10 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
     for lang, words in samples:
         for w in words:
             counts.setdefault(w, np.zeros(k, np.int32))[place[lang]] += 1
-    lexicon = {w: int(c.argmax()) for w, c in counts.items() if c.sum() >= 8 and c.max() >= 0.9 * c.sum()} if k < FEATURES // 16 else {}
+    lexicon = {w: int(c.argmax()) for w, c in counts.items() if c.sum() >= 8 and c.max() >= 0.9 * c.sum()}
     vocabulary = {w: i for i, w in enumerate(counts)}
-    flat, owner = [], []
-    scale = np.zeros(len(vocabulary))
-    for w, i in vocabulary.items():
-        f = word_features(w, lexicon)
-        flat.extend(f)
-        owner.extend([i] * len(f))
-        scale[i] = len(f) ** -0.5
-    flat, owner = np.array(flat, np.int64), np.array(owner, np.int64)
-    offsets = np.searchsorted(owner, np.arange(len(vocabulary)))
+    flat, owner = word_features(list(vocabulary), lexicon)
+    scale = np.maximum(1, np.bincount(owner, minlength=len(vocabulary))) ** -0.5
     stretches = []
     for lang, words in samples:
         ids, gold = [vocabulary[w] for w in words], [place[lang]] * len(words)
@@ -127,16 +126,17 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
     for _, g in stretches:
         np.add.at(observed, (g[:-1], g[1:]), 1)
     onehot = np.eye(k)[gold]
-    params = [np.zeros((FEATURES, k)), np.zeros((k, k))]
+    size = FEATURES + k
+    params = [np.zeros((size, k)), np.zeros((k, k))]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for r in range(1, ROUNDS + 1):
-        words = np.add.reduceat(params[0][flat], offsets, axis=0) * scale[:, None]
+        words = np.stack([np.bincount(owner, params[0][flat, j], len(vocabulary)) * scale for j in range(k)], axis=1)
         scores = np.zeros((n * STRETCH, k))
         scores[at] = words[ids]
         gamma, expected = forward_backward(scores.reshape(n, STRETCH, k), lengths, params[1], pairs=True)
         slip = onehot - gamma.reshape(-1, k)[at]
         by_word = np.stack([np.bincount(ids, slip[:, j], len(vocabulary)) for j in range(k)], axis=1) * scale[:, None]
-        grads = [np.stack([np.bincount(flat, by_word[owner, j], FEATURES) for j in range(k)], axis=1) / len(ids), (observed - expected) / len(ids)]
+        grads = [np.stack([np.bincount(flat, by_word[owner, j], size) for j in range(k)], axis=1) / len(ids), (observed - expected) / len(ids)]
         for p, g, u, v in zip(params, grads, first, second):  # Adam, ascending
             g = g - DECAY * p
             u += 0.1 * (g - u)
