@@ -210,11 +210,13 @@ def learn(docs: DataFrame, sample: DataFrame) -> dict:
 
 
 def evidence(lam: float, k: float):
-    """Columns of a document's evidence from words, best and passages: the best segment's surprise, and that of all significant ones."""
+    """Columns of a document's evidence from words, best and passages: the best segment's surprise, that of all significant ones, the score of
+    all, and whether there is any, alone and with the length. Without a scoring token all are 0, whatever the length."""
+    some = (F.col("best") > 0).cast("double")
     size = F.log(F.lit(k) * F.greatest(F.col("words"), F.lit(1)))
     over = lambda s: F.greatest(F.lit(lam) * s - size, F.lit(0.0))
     squash = lambda x: F.log1p(x)
-    return [squash(over(F.col("best"))).alias("x0"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + over(p["score"]))).alias("x1"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + F.lit(lam) * p["score"])).alias("x2"), F.log1p("words").alias("x3")]
+    return [squash(over(F.col("best"))).alias("x0"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + over(p["score"]))).alias("x1"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + F.lit(lam) * p["score"])).alias("x2"), (some * F.log1p("words")).alias("x3"), some.alias("x4")]
 
 
 def labelled_sample(labels: DataFrame, folds: int, held: int, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> DataFrame:
@@ -247,8 +249,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     rows = known.select("toxic", *evidence(lam, k)).collect()
     y = np.array([r["toxic"] for r in rows], float)
     if len(y) and 0 < y.sum() < len(y):
-        w = logistic(np.array([[r[f"x{i}"] for i in range(4)] for r in rows]), y)
-        logit = sum((F.col(f"x{i}") * F.lit(float(w[i])) for i in range(4)), F.lit(float(w[4])))
+        w = logistic(np.array([[r[f"x{i}"] for i in range(5)] for r in rows]), y)
+        logit = sum((F.col(f"x{i}") * F.lit(float(w[i])) for i in range(5)), F.lit(float(w[5])))
         score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit))))
     else:
         score = F.lit(0.0)
