@@ -6,6 +6,7 @@ whole corpus, rarest first. A block that holds c of a template's n words must ho
 have c words of templates at all (length filter), and, where the first common word stands at places i and j, must have enough words
 left behind both (positional filter). What passes is verified, so the join is exact. Words that no template has can't
 count to an overlap, so blocks are cut down to the templates' vocabulary; the templates are a fixed list and are sent to all tasks.
+A block gets the labels of the templates that it holds most of: licences of one family differ in a word.
 """
 
 from __future__ import annotations
@@ -154,9 +155,10 @@ def scan_rows(index: Index, phrases=PHRASES):
                 if not prefix.isdisjoint(have):
                     for block in blocks(text):
                         if not prefix.isdisjoint(block):
-                            for template, c in index.matches(block):
-                                labels.add(index.labels[template])
-                                score = max(score, c)
+                            found = index.matches(block)
+                            best = max((c for _, c in found), default=0.0)
+                            labels.update(index.labels[template] for template, c in found if c == best)
+                            score = max(score, best)
                 row = (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
                 for column, v in zip(out, row):
                     column.append(v)
@@ -193,9 +195,9 @@ p AS (SELECT rid, doc_id, len(words)::BIGINT AS n_words,
 lines AS (SELECT rid, pos, unnest(string_split(text, chr(10))) AS line FROM (SELECT rid, text, 0 AS pos FROM d)),
 paragraphs AS (SELECT rid, unnest(regexp_split_to_array(text, '\\n[ \\t\\r\\x0b\\x0c]*\\n')) AS par FROM d),
 wrapped AS (SELECT rid, par FROM paragraphs WHERE len(list_filter(string_split(par, chr(10)), lambda x: len(regexp_extract_all(x, {word})) > {WRAPPED_WORDS})) = 0),
-blocks AS (SELECT rid, list_distinct(regexp_extract_all(line, {word})) AS words FROM lines UNION ALL SELECT rid, list_distinct(regexp_extract_all(par, {word})) FROM wrapped),
-m AS (SELECT rid, label, len(list_intersect(b.words, t.words)) / len(t.words) AS c FROM blocks b, t WHERE len(list_intersect(b.words, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)),
-g AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS c FROM m GROUP BY rid),
+blocks AS (SELECT row_number() OVER () AS bid, * FROM (SELECT rid, list_distinct(regexp_extract_all(line, {word})) AS words FROM lines UNION ALL SELECT rid, list_distinct(regexp_extract_all(par, {word})) FROM wrapped)),
+m AS (SELECT rid, bid, label, len(list_intersect(b.words, t.words)) / len(t.words) AS c FROM blocks b, t WHERE len(list_intersect(b.words, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)),
+g AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS c FROM (SELECT *, max(c) OVER (PARTITION BY bid) AS best FROM m) WHERE c = best GROUP BY rid),
 r AS (SELECT p.*, list_concat(mit, apache, gpl) AS starts, list_concat(CASE WHEN len(apache) > 0 THEN ['apache'] ELSE [] END, CASE WHEN len(gpl) > 0 THEN ['gpl'] ELSE [] END, CASE WHEN len(mit) > 0 THEN ['mit'] ELSE [] END) AS base FROM p)
 SELECT doc_id, n_words, len(starts)::BIGINT AS n_base, list_min(starts)::BIGINT AS first_word, list_max(starts)::BIGINT AS last_word, array_to_string(base, ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(base, coalesce(g.labels, [])))), ',') AS labels,
