@@ -132,7 +132,8 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
 
     Null texts stay null and empty ones empty. Rows with the same doc_id and text are one document: what stays of one stays of all.
     Rows with the same doc_id and other text are documents of their own. Within a document a repeated run goes too; the first place stays.
-    Empty table: no rows."""
+    Columns that already have one of the new names, or _runs, _run_doc or _run_hash, are replaced. Empty table: no rows."""
+    docs = docs.drop("_n_lines", "_n_deleted", "_deleted_words", "_runs", "_run_doc", "_run_hash")
     key = F.xxhash64(F.col("text").cast("string"))
     runs = repeated_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("text_hash"), F.col("text").cast("string").alias("text")), min_lines, min_words)
     runs = runs.select(F.col("doc_id").alias("_run_doc"), F.col("text_hash").alias("_run_hash"), F.col("runs").alias("_runs"))

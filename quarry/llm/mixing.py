@@ -100,7 +100,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix has them: every row as often as it was taken, all columns."""
+    """docs as the mix has them: every row as often as it was taken, all columns but those named _mix_id, _mix_source, _mix_size, _nth, _copies or _time."""
+    docs = docs.drop("_mix_id", "_mix_source", "_mix_size", "_nth", "_copies", "_time")
     plan = mix(docs, **options).select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_copies"))
     place = Window.partitionBy("_mix_id", "_mix_source", "_mix_size")  # rows alike in all three are told apart by number
     plan = plan.withColumn("_nth", F.row_number().over(place.orderBy(F.col("_copies").desc()))).where("_copies > 0")

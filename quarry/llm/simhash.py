@@ -183,7 +183,8 @@ def links(distinct: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KE
 
 
 def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """docs (text and any other columns) with _fp."""
+    """docs (text and any other columns) with _fp, which replaces a column of that name."""
+    docs = docs.drop("_fp")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return arrow_map(docs, fingerprint_rows(), schema + ", _fp long")
 
@@ -208,7 +209,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, long_keys_from: int = L
 
 def keep_one(docs: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
     """docs with one document of each near-duplicate group, that with the least doc_id (null ids last); all columns stay. Of rows with the same
-    doc_id in a group one stays."""
+    doc_id in a group one stays. Columns named _fp, _keep_id or _keep_fp go."""
+    docs = docs.drop("_keep_id", "_keep_fp")
     all_ = stage(with_fingerprints(docs), "simhash-docs")
     fps = all_.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_fp").alias("fp"))
     first = fps.join(groups(fps, block, long_keys_from), "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))).alias("x"))

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from quarry.llm import langid, line_dedup, mixing, packing, simhash
 
@@ -86,3 +88,12 @@ def test_mixed_documents_rows_alike(spark):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     taken = sum(r.taken for r in mixing.mix(df).collect())
     assert sum(len(r.text.split()) for r in mixing.mixed_documents(df).collect()) == taken
+
+
+def test_clashing_names(spark):
+    names = ["_fp", "_keep_id", "_n_lines", "_runs", "_run_doc", "_lang_pred", "_score", "_mix_id", "_nth", "_copies", "fp", "component", "size", "n_chars"]
+    df = spark.createDataFrame([(k, f"the and of text number {k}", "en", f"s{k % 2}") for k in range(12)], "doc_id long, text string, lang string, source string")
+    df = df.select("*", *[F.lit(7).alias(n) for n in names])
+    assert line_dedup.dedup_lines(df).count() == 12 and simhash.keep_one(df).count() >= 1 and mixing.mixed_documents(df).count() >= 1
+    assert langid.identify(df, langid.fit(langid.learner_rows(df))).count() == 12 and packing.pack(df).count() == 12
+    assert "fp" in simhash.keep_one(df).columns
