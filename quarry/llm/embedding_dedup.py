@@ -4,7 +4,7 @@ Vectors go to the shards of their two nearest centroids, so shards overlap. In e
 neighbours, near ones and a few far ones, are pruned so that no kept edge is made needless by a much nearer kept one. A vector's
 adjacency lists from both its shards are united: where an edge leaves the shard, its far end comes along. Then every vector of
 the shard is searched for, greedily from the shard's medoids and its own node, and from what is in range (or nearly) the
-search expands until it finds no more. All that is found is verified in doubles.
+search expands until it finds no more. All that is found is verified in doubles, and recall is audited on a sample.
 
 Exact copies are one node. A shard with more than CAP members is dealt out as pairs of blocks, each a shard of its own. A pair of vectors
 that share several shards is counted in one of them alone, so tasks return counts and a forest, never all pairs of a
@@ -31,6 +31,8 @@ PER_CENTROID, MAX_CENTROIDS, SAMPLE, MAX_SAMPLE = 4096, 16384, 16384, 131_072
 CAP = 2048
 #: Out-edges, far edges among them, near candidates, pruning factor, beam, medoids.
 DEGREE, FAR, NEAR, ALPHA, BEAM, MEDOIDS = 24, 4, 48, 1.2, 16, 8
+#: Vectors that are compared with all others, and the share of their links that must have been found.
+AUDIT, LEAST_RECALL = 256, 0.95
 MEMBER = "h1 long, h2 long, label string, node long, w long, v binary, c1 int, c2 int"
 
 
@@ -171,7 +173,7 @@ def medoids(x: np.ndarray, number: int) -> np.ndarray:
     return np.array(sorted(out))
 
 
-def range_search(x: np.ndarray, queries: int, adjacency: list[np.ndarray] | np.ndarray, threshold: float) -> np.ndarray:
+def range_search(x: np.ndarray, queries: int, adjacency: np.ndarray, threshold: float, margin: float = MARGIN, beam_size: int = BEAM) -> np.ndarray:
     """Which of all nodes each of the first `queries` nodes finds in range: bool [queries, n].
 
     All queries walk at once: a greedy beam from the medoids and the query's own node, then an expansion through every node that
@@ -179,14 +181,14 @@ def range_search(x: np.ndarray, queries: int, adjacency: list[np.ndarray] | np.n
     n = len(x)
     z = x.astype(np.float32)
     seen, found = np.zeros((queries, n), bool), np.zeros((queries, n), bool)
-    reach = threshold - MARGIN
+    reach = threshold - margin
     starts = medoids(x[:queries], MEDOIDS)
     q = np.arange(queries)
     ids = np.concatenate([np.tile(starts, (queries, 1)), q[:, None]], axis=1)
     ids[:, :-1][ids[:, :-1] == q[:, None]] = -1
     sims = np.where(ids >= 0, np.einsum("qd,qkd->qk", z[:queries], z[np.maximum(ids, 0)]), -9.0)
-    beam, beam_sims = np.full((queries, BEAM), -1, np.int64), np.full((queries, BEAM), -9.0, np.float32)
-    done = np.ones((queries, BEAM), bool)
+    beam, beam_sims = np.full((queries, beam_size), -1, np.int64), np.full((queries, beam_size), -9.0, np.float32)
+    done = np.ones((queries, beam_size), bool)
     open_pairs: list[np.ndarray] = []
 
     def note(rows: np.ndarray, nodes: np.ndarray, s: np.ndarray) -> None:
@@ -200,12 +202,12 @@ def range_search(x: np.ndarray, queries: int, adjacency: list[np.ndarray] | np.n
     r, c = np.nonzero(ids >= 0)
     note(r, ids[r, c], sims[r, c])
     new_ids, new_sims, rows = ids, sims, q
-    for _ in range(3 * BEAM):
+    for _ in range(3 * beam_size):
         # Merge what is new into the beams, take each beam's best node that wasn't expanded, and look at its neighbours.
         all_ids = np.concatenate([beam[rows], new_ids], axis=1)
         all_sims = np.concatenate([beam_sims[rows], new_sims], axis=1)
         all_done = np.concatenate([done[rows], new_ids < 0], axis=1)
-        top = np.argsort(-all_sims, axis=1, kind="stable")[:, :BEAM]
+        top = np.argsort(-all_sims, axis=1, kind="stable")[:, :beam_size]
         beam[rows], beam_sims[rows], done[rows] = (np.take_along_axis(a, top, axis=1) for a in (all_ids, all_sims, all_done))
         rows = np.flatnonzero(~done.all(axis=1))
         if not len(rows):
@@ -295,7 +297,7 @@ def build_rows(table):
 FOUND = "kind int, a long, b long, wa long, wb long"
 
 
-def search_rows(threshold: float):
+def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM):
     """Cogrouped Arrow function over (members, lists) of one shard: FOUND. kind 0: node a has b more links; 1: an edge of the forest; 2: a linked pair
     that shares no shard."""
 
@@ -334,7 +336,7 @@ def search_rows(threshold: float):
                 graph = np.full((len(x), max(1, width)), -1, np.int64)
                 for k, list_ in enumerate(own_lists):
                     graph[k, : len(list_)] = list_
-                found = range_search(x, n, graph, threshold)
+                found = range_search(x, n, graph, threshold, margin, beam_size)
                 inside, cross = found[:, :n], found[:, n:]
                 inside |= inside.T.copy()
                 # A pair is counted in the least shard that both are members of, in the pair of its blocks.
@@ -380,11 +382,12 @@ def prepare(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.drop("v"), stage(nodes, "emb-nodes")
 
 
-def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int = CAP, per_centroid: int = PER_CENTROID) -> DataFrame:
+def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int = CAP, per_centroid: int = PER_CENTROID, margin: float = MARGIN, beam_size: int = BEAM, audit: int = AUDIT, least_recall: float = LEAST_RECALL, wider: int = 2) -> DataFrame:
     """One row per row of embeddings: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components, rows with null label, and rows without vec_id link with nothing.
-    Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other columns
+    A sample of about `audit` vectors is compared with all; below `least_recall` the work is done again with larger clusters, margin and beam,
+    `wider` times at most. Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other columns
     don't matter. Vectors of other dimensions don't link. Empty table: no rows."""
     spark = embeddings.sparkSession
     rows, nodes = prepare(embeddings)
@@ -411,7 +414,7 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     guests = guests.join(dealt.where("i = j").select("label", "shard", F.col("node").alias("src"), F.col("i").alias("block")).distinct(), ["label", "shard", "src"])
     guests = guests.withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("block")
     lists = lists.where("dsts is not null").unionByName(guests)
-    found = dealt.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(search_rows(threshold), FOUND)
+    found = dealt.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(search_rows(threshold, margin, beam_size), FOUND)
     found = stage(found, "emb-found")
     cross = found.where("kind = 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("wa")).otherwise(F.col("wb")).alias("wa"), F.when(F.col("a") < F.col("b"), F.col("wb")).otherwise(F.col("wa")).alias("wb")).dropDuplicates(["a", "b"])
     counts = found.where("kind = 0").select("a", F.col("b").alias("links")).union(cross.select("a", F.col("wb"))).union(cross.select("b", F.col("wa")))
@@ -419,16 +422,25 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     comp = connected_components(found.where("kind > 0").select("a", "b"))
     named = nodes.select("h1", "h2", "node", "w").join(counts, F.col("node") == F.col("c_node"), "left").select("h1", "h2", "node", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
     named = named.join(comp.withColumnRenamed("node", "k_node"), F.col("node") == F.col("k_node"), "left").select("h1", "h2", "n_links", F.coalesce("component", "node").alias("component_id"))
+    if audit and wider:
+        named = stage(named, "emb-named")
+        there_are = audit_nodes(nodes, named.select("h1", "n_links"), threshold, audit)
+        if there_are[0] < least_recall * there_are[1]:
+            return link_vectors(embeddings, threshold, cap, 2 * per_centroid, 2 * margin, 4 * beam_size, audit, least_recall, wider - 1)
     out = rows.join(named, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
-def audit_recall(embeddings: DataFrame, linked: DataFrame, threshold: float = THRESHOLD, queries: int = 256) -> tuple[int, int]:
-    """(links found, links there are) of a sample of about `queries` vectors, by comparing each with all vectors of its label."""
-    rows, nodes = prepare(embeddings)
+def audit_nodes(nodes: DataFrame, n_links: DataFrame, threshold: float, queries: int) -> tuple[int, int]:
+    """(links found, links there are) of about `queries` nodes, each compared with all. n_links: h1, n_links."""
     hashed = F.pmod(F.xxhash64("h1"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = [(r["node"], r["label"], bytes(r["v"])) for r in nodes.where(hashed < F.lit(min(1.0, queries / max(1, nodes.count())))).select("node", "label", "v").collect()]
+    share = min(1.0, queries / max(1, nodes.count()))
+    chosen = [(r["h1"], r["label"], bytes(r["v"])) for r in nodes.where(hashed < F.lit(share)).select("h1", "label", "v").collect()]
+    places: dict[tuple[str, int], list[int]] = {}
+    for k, (_, label, v) in enumerate(chosen):
+        places.setdefault((label, len(v)), []).append(k)
+    groups = {key: (np.array([chosen[k][0] for k in ks]), matrix([chosen[k][2] for k in ks])) for key, ks in places.items()}
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -436,12 +448,19 @@ def audit_recall(embeddings: DataFrame, linked: DataFrame, threshold: float = TH
         total: dict[int, int] = {}
         for batch in batches:
             for label, v, w in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                x = np.frombuffer(v, "<f8")
-                for q, q_label, q_v in chosen:
-                    if q_label == label and len(q_v) == len(v) and float(np.frombuffer(q_v, "<f8") @ x) >= threshold:
-                        total[q] = total.get(q, 0) + w
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["vec_id", "n"])
-
-    there = arrow_map(nodes.select("label", "v", "w"), count, "vec_id long, n long").groupBy("vec_id").agg((F.sum("n") - 1).alias("there"))
-    got = there.join(linked.dropDuplicates(["vec_id"]), "vec_id").agg(F.sum(F.least("n_links", "there")), F.sum("there")).first()
+                if (label, len(v)) in groups:
+                    ids, q = groups[label, len(v)]
+                    for i in ids[q @ np.frombuffer(v, "<f8") >= threshold].tolist():
+                        total[i] = total.get(i, 0) + w
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["h1", "n"])
+
+    there = arrow_map(nodes.select("label", "v", "w"), count, "h1 long, n long").groupBy("h1").agg((F.sum("n") - 1).alias("there"))
+    got = there.join(n_links, "h1").agg(F.sum(F.least("n_links", "there")), F.sum("there")).first()
     return int(got[0] or 0), int(got[1] or 0)
+
+
+def audit_recall(embeddings: DataFrame, linked: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT) -> tuple[int, int]:
+    """(links found, links there are) of a sample of about `queries` vectors of a result of link_vectors."""
+    rows, nodes = prepare(embeddings)
+    n_links = rows.where("h1 is not null").join(linked, "vec_id").groupBy("h1").agg(F.first("n_links").alias("n_links"))
+    return audit_nodes(nodes, n_links, threshold, queries)
