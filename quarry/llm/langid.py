@@ -3,7 +3,7 @@
 Every word gets a label. A word's features are its affixes, its letter n-grams and the lexicons it stands in (words that
 the labelled sample has almost only in one language); transition weights between the labels of neighbours are learned
 with them. Forward-backward gives each word's label probabilities, so the words of a code-switched text are labelled one
-by one; a document's language is the label with most probability over all its words.
+by one; a document's language is the label with most probability over all its words, repeated ones counting less.
 
 Features are hashed to a table of fixed size, so the model's size depends on the number of languages alone.
 """
@@ -22,12 +22,14 @@ from .common import arrow_map, crc32_mod, doc_text
 #: The chain is cut into stretches of so many words, in training and in use.
 STRETCH = 64
 #: Bound of the labelled sample: about so many documents a language, and stretches of a document.
-SAMPLE_DOCS, SAMPLE_STRETCHES = 400, 4
+SAMPLE_DOCS, SAMPLE_STRETCHES = 600, 4
 FEATURES, UNKNOWN = 1 << 16, "und"
 ROUNDS, RATE, DECAY = 40, 0.25, 1e-5
 #: Words that a task keeps the emissions of, and words that it scores at once; both bound memory, neither what is scored.
 KEPT_WORDS, FLUSH_WORDS = 300_000, 200_000
 WORD = re.compile(r"[^\W\d_]+")
+#: The model without anything learned.
+EMPTY = {"labels": [], "weights": np.zeros((FEATURES, 0), np.float32), "transitions": np.zeros((0, 0)), "lexicon": {}, "prior": np.zeros(0)}
 
 
 def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,40 +144,65 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
             u += 0.1 * (g - u)
             v += 0.01 * (g * g - v)
             p += RATE * (u / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
-    return {"labels": labels, "weights": params[0].astype(np.float32), "transitions": params[1], "lexicon": lexicon}
+    return {"labels": labels, "weights": params[0].astype(np.float32), "transitions": params[1], "lexicon": lexicon, "prior": np.full(k, 1 / k)}
 
 
 def sample_stretches(per_doc: int):
-    """A mapInArrow function: (lang, text, h) -> (lang, words): up to per_doc stretches of a text, evenly spread over all of it."""
+    """A mapInArrow function: (lang, text) -> (lang, words, lines): up to per_doc stretches of a text, evenly spread over all of it, and for each word
+    the hash of its line."""
 
     def run(batches: Iterator) -> Iterator:
+        import zlib
+
         import pyarrow as pa
 
         for batch in batches:
-            langs, out = [], []
+            langs, out, out_lines = [], [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = WORD.findall((text or "").lower())
+                words, lines = [], []
+                for line in (text or "").lower().split("\n"):
+                    found = WORD.findall(line)
+                    words += found
+                    lines += [zlib.crc32(line.strip().encode("utf-8", "replace"))] * len(found)
                 starts = range(0, len(words), STRETCH)
                 for start in [starts[i * len(starts) // min(per_doc, len(starts))] for i in range(min(per_doc, len(starts)))]:
                     langs.append(lang)
                     out.append(words[start : start + STRETCH])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.list_(pa.string()))], names=["lang", "words"])
+                    out_lines.append(lines[start : start + STRETCH])
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.list_(pa.string())), pa.array(out_lines, pa.list_(pa.int64()))], names=["lang", "words", "lines"])
 
     return run
 
 
+def own_lines(rows: list[tuple[str, list[str], list[int]]]) -> list[tuple[str, list[str]]]:
+    """(language, words) of the stretches without lines that stand under several languages, and without stretches of repetitions: neither says much
+    of a text's language."""
+    under: dict[int, set[str]] = {}
+    for lang, _, lines in rows:
+        for h in set(lines):
+            under.setdefault(h, set()).add(lang)
+    kept = [(lang, [w for w, h in zip(words, lines) if len(under[h]) == 1]) for lang, words, lines in rows]
+    kept = [(lang, words) for lang, words in kept if words and 2 * len(set(words)) >= len(words)]
+    return kept if {lang for lang, _ in kept} == {lang for lang, _, _ in rows} else [(lang, words) for lang, words, _ in rows]
+
+
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, per_doc: int = SAMPLE_STRETCHES) -> dict:
     """labelled: doc_id, text, lang. Fits the model on about sample_docs documents of each language, those with the least hashes of
     their ids. The sample alone comes to the driver."""
-    share = {r["lang"]: min(1.0, sample_docs / r["n"]) for r in labelled.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = {lang: min(1.0, sample_docs / n) for lang, n in counts.items()}
     if not share:
-        return {"labels": [], "weights": np.zeros((FEATURES, 0), np.float32), "transitions": np.zeros((0, 0)), "lexicon": {}}
+        return EMPTY
     limit = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
     hashed = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = labelled.where(F.col("lang").isNotNull() & (hashed < F.element_at(limit, F.col("lang")))).select("lang", "text")
-    rows = arrow_map(chosen, sample_stretches(per_doc), "lang string, words array<string>").collect()
-    samples = sorted((r["lang"], list(r["words"])) for r in rows if r["words"])
-    return train(samples) if samples else {"labels": [], "weights": np.zeros((FEATURES, 0), np.float32), "transitions": np.zeros((0, 0)), "lexicon": {}}
+    rows = arrow_map(chosen, sample_stretches(per_doc), "lang string, words array<string>, lines array<long>").collect()
+    samples = own_lines(sorted((r["lang"], list(r["words"]), list(r["lines"])) for r in rows if r["words"]))
+    if not samples:
+        return EMPTY
+    model = train(samples)
+    known = np.array([counts[lang] for lang in model["labels"]], float)
+    return model | {"prior": known / known.sum()}
 
 
 class Labeller:
@@ -200,7 +227,8 @@ class Labeller:
             part = new[lo : lo + 20_000]
             self.table[first + lo : first + lo + len(part)] = emissions(part, self.model["weights"], self.model["lexicon"])
         self.known.update(zip(new, range(first, first + len(new))))
-        scores = self.table[np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))]
+        self.ids = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        scores = self.table[self.ids]
         lengths = np.array([len(d) for d in docs], np.int64)
         per = -(-lengths // STRETCH)
         base = np.concatenate([[0], np.cumsum(per)])[:-1]
@@ -217,10 +245,15 @@ class Labeller:
         return gamma.reshape(-1, self.k)[at]
 
     def languages(self, docs: list[list[str]]) -> np.ndarray:
-        """Mean label probabilities of each of docs (all with words)."""
-        p = self.word_probabilities(docs)
+        """Label probabilities of each of docs (all with words): the mean over its words, in which a word that stands there n times counts as much
+        as the root of n words, and the languages' shares of the labelled documents count as one word. What is repeated a hundred times isn't a hundred times the evidence."""
+        p = self.word_probabilities(docs).astype(np.float64)
         lengths = np.array([len(d) for d in docs])
-        return np.add.reduceat(p.astype(np.float64), np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+        _, where, n = np.unique(np.repeat(np.arange(len(docs)), lengths) * len(self.table) + self.ids, return_inverse=True, return_counts=True)
+        weight = n[where] ** -0.5
+        first = np.cumsum(lengths) - lengths
+        prior = self.model["prior"]  # weighs as much as one word
+        return (np.add.reduceat(p * weight[:, None], first, axis=0) + prior) / (np.add.reduceat(weight, first)[:, None] + 1)
 
 
 def predict_rows(model: dict, text_name: str = "text"):
@@ -263,9 +296,10 @@ def predict_rows(model: dict, text_name: str = "text"):
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """docs (text and any other columns) with _lang_pred (`und` if the text is null or has no letter) and _score (the mean probability of that label over
-    the words; 0 for `und`). Empty and very long texts, repeated rows and extra columns need nothing special; equal probabilities go to
-    the first label by code point."""
+    """docs (text and any other columns) with _lang_pred (`und` if the text is null or has no letter) and _score (its probability, the
+    mean over the words, repeated ones counting less; 0 for `und`). Empty and very long texts, repeated rows and extra columns need nothing special; equal probabilities go to
+    the first label by code point. Columns that already have one of the new names are replaced."""
+    docs = docs.drop("_lang_pred", "_score")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return arrow_map(docs, predict_rows(model), schema + ", _lang_pred string, _score double")
 

@@ -118,6 +118,21 @@ def test_code_switched_words_are_labelled_one_by_one():
     assert p.argmax(axis=1).tolist() == [0] * 4 + [1] * 4
 
 
+def test_boilerplate_and_repetition_teach_nothing():
+    rows = [("a", ["x", "y", "p"], [1, 1, 2]), ("b", ["x", "y", "q"], [1, 1, 3]), ("b", ["z"] * 9, [4] * 9)]
+    assert langid.own_lines(rows) == [("a", ["p"]), ("b", ["q"])]
+    assert langid.own_lines(rows[:1]) == [("a", ["x", "y", "p"])]
+    assert langid.own_lines([("a", ["x"], [1]), ("b", ["x"], [1])]) == [("a", ["x"]), ("b", ["x"])]  # nothing else is there
+
+
+def test_repeated_words_dont_outvote_a_text():
+    rng = random.Random(4)
+    words = {"a": ["foo", "fab", "fin", "fet", "fup"], "b": ["zoz", "zaz", "zuz", "zyx", "zib"]}
+    model = langid.train([(lang, [rng.choice(words[lang]) for _ in range(9)]) for _ in range(90) for lang in words])
+    p = langid.Labeller(model).languages([words["a"] * 2 + ["zaz"] * 30, words["b"]])
+    assert p.argmax(axis=1).tolist() == [0, 1] and np.allclose(p.sum(axis=1), 1)
+
+
 def brute_segments(values):
     """Maximal segments by their definition: the best segment, then the same to its left and right."""
     if not values:
