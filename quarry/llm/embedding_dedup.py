@@ -464,3 +464,16 @@ def audit_recall(embeddings: DataFrame, linked: DataFrame, threshold: float = TH
     rows, nodes = prepare(embeddings)
     n_links = rows.where("h1 is not null").join(linked, "vec_id").groupBy("h1").agg(F.first("n_links").alias("n_links"))
     return audit_nodes(nodes, n_links, threshold, queries)
+
+
+def oracle() -> str:
+    """All pairs and what they reach, in DuckDB SQL; for small tables."""
+    return """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM reach r JOIN p ON r.b = p.a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a),
+c AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.b, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(c.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN c ON vec_id = c.a"""

@@ -110,7 +110,7 @@ def delete_runs(text_name: str):
                     drop, w = set(), 0
                     for i in gone:
                         drop.add(full[i])
-                        w += len(lines[full[i]].split())
+                        w += len(lines[full[i]].encode().split())
                         if i + 1 in gone:  # blank lines inside a run go with it
                             drop.update(range(full[i], full[i + 1]))
                     words.append(w)
@@ -140,3 +140,26 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
     own = docs.join(runs.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_run_doc")) & (key == F.col("_run_hash")), "left").select(*[docs[c] for c in docs.columns], F.col("_runs"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_lines int, _n_deleted int, _deleted_words long"
     return arrow_map(own, delete_runs("text"), schema)
+
+
+def oracle(min_words: int = MIN_WORDS) -> str:
+    """The query in DuckDB SQL: windows are compared by their text, line by line (for windows of MIN_LINES = 3 lines)."""
+    same = lambda a, b: f"CASE WHEN {a}[1] = {b}[1] THEN CASE WHEN {a}[2] = {b}[2] THEN 2 ELSE 1 END ELSE 0 END"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+raw AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d WHERE text IS NOT NULL),
+marked AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
+numbered AS (SELECT *, t <> '' AS full_, count(*) FILTER (WHERE t <> '') OVER (PARTITION BY rid ORDER BY pos) - 1 AS i FROM marked),
+l AS (SELECT rid, doc_id, i, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM numbered WHERE full_),
+near AS (SELECT *, lead(w) OVER o AS w2, [lag(t) OVER o, lag(t, 2) OVER o] AS before, [t, lead(t) OVER o, lead(t, 2) OVER o, lead(t, 3) OVER o, lead(t, 4) OVER o] AS ahead FROM l WINDOW o AS (PARTITION BY rid ORDER BY i)),
+sized AS (SELECT *, CASE WHEN w >= {min_words} THEN 1 WHEN w + w2 >= {min_words} THEN 2 WHEN ahead[3] IS NOT NULL THEN 3 END AS n FROM near),
+win AS (SELECT rid, doc_id, i, n, list_slice(ahead, 1, n) AS key, before, list_slice(ahead, n + 1, n + 2) AS after FROM sized WHERE n IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, rid, i) AS r FROM win),
+found AS (SELECT m.rid, CASE WHEN m.rid = f.rid THEN greatest(m.i - ({same('m.before', 'f.before')}), least(m.i, f.i + f.n)) ELSE m.i - ({same('m.before', 'f.before')}) END AS lo,
+  m.i + m.n - 1 + ({same('m.after', 'f.after')}) AS hi FROM ranked m JOIN ranked f ON m.key = f.key AND f.r = 1 WHERE m.r > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(lo, hi + 1)) AS i FROM found),
+kept AS (SELECT x.rid, x.line, x.pos, x.full_, g.i IS NOT NULL AS here, h.i IS NOT NULL AS next_ FROM numbered x LEFT JOIN gone g ON x.rid = g.rid AND x.i = g.i LEFT JOIN gone h ON x.rid = h.rid AND x.i + 1 = h.i),
+texts AS (SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT (here AND (full_ OR next_))), '') AS text, count(*) FILTER (WHERE full_) AS n_lines FROM kept GROUP BY rid),
+sums AS (SELECT g.rid, count(*) AS n, sum(l.w) AS words FROM gone g JOIN l ON g.rid = l.rid AND g.i = l.i GROUP BY g.rid)
+SELECT d.doc_id, CASE WHEN s.rid IS NULL THEN d.text ELSE x.text END AS text, coalesce(x.n_lines, 0)::INTEGER AS n_lines, coalesce(s.n, 0)::INTEGER AS n_deleted, coalesce(s.words, 0)::BIGINT AS deleted_words
+FROM d LEFT JOIN texts x ON d.rid = x.rid LEFT JOIN sums s ON d.rid = s.rid"""

@@ -64,6 +64,8 @@ QUERIES = {
 }
 #: The other queries can't be said in SQL: they learn, tokenise, or hash with functions that DuckDB lacks. tests/llm has them against brute force.
 ORACLES = {
+    "op1_line_dedup": line_dedup.oracle(),
+    "op3_embedding_dedup": embedding_dedup.oracle(),
     "op4_chat_format": chat_format.oracle(),
     "op5_license_scan": license_scan.oracle(),
     "op7_topk_inner_product": topk.oracle(),

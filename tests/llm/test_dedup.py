@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -134,6 +135,19 @@ def test_line_dedup_random(spark):
             assert all(x in it for x in left)
 
 
+def test_line_dedup_equals_sql(spark, sf):
+    rng = random.Random(6)
+    bank = [" ".join([f"l{i}"] * rng.choice((1, 1, 20, 30, 60))) for i in range(14)] + ["", "  ", "\t"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect() + [(1000 + d, "\n".join(rng.choice(bank) for _ in range(rng.randint(0, 25)))) for d in range(80)] + [(5000, None)]
+    df = spark.createDataFrame([tuple(r) for r in docs], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r["_n_lines"], r["_n_deleted"], r["_deleted_words"]) for r in line_dedup.dedup_lines(df).collect())
+    with duckdb.connect() as c:
+        documents = df.toArrow()
+        c.register("documents", documents)
+        assert got == sorted(c.sql(line_dedup.oracle()).fetchall())
+    assert sum(r[3] for r in got) > 100
+
+
 def test_line_dedup_repeated_rows(spark):
     t = "a\nb\nc\nd"
     df = spark.createDataFrame([(5, t), (5, t), (5, t + "\ne"), (6, t)], "doc_id long, text string")

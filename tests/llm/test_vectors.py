@@ -3,6 +3,7 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 
 from quarry.llm import embedding_dedup, topk
@@ -93,6 +94,10 @@ def test_links_equal_brute_force(spark):
         assert sum(r.n_links for r in got) >= 0.97 * links
         if not options:
             assert {r.vec_id: (r.n_links, r.component_id) for r in got} == exact
+            with duckdb.connect() as c:
+                embeddings = df.toArrow()
+                c.register("embeddings", embeddings)
+                assert {tuple(r) for r in got} == set(c.sql(embedding_dedup.oracle()).fetchall())
     found, there = embedding_dedup.audit_recall(df, embedding_dedup.link_vectors(df), queries=100_000)
     assert there > 0 and found >= 0.97 * there
 
