@@ -58,8 +58,8 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int):
 
         def learn(fresh: list[str]) -> None:
             """Encodes pre-tokens many at a time; as each ends in an id of a word's end, their ids come apart again."""
-            for lo in range(0, len(fresh), 8192):
-                some = fresh[lo : lo + 8192]
+            for lo in range(0, len(fresh), 512):
+                some = fresh[lo : lo + 512]
                 ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
                 cuts = np.flatnonzero(ends[ids]) + 1
                 if len(cuts) != len(some):  # not a vocabulary with word ends
