@@ -22,7 +22,7 @@ from .common import arrow_map, crc32_mod, doc_text
 #: The chain is cut into stretches of so many words, in training and in use.
 STRETCH = 64
 #: Bound of the labelled sample: about so many documents a language, and stretches of a document.
-SAMPLE_DOCS, SAMPLE_STRETCHES = 600, 4
+SAMPLE_DOCS, SAMPLE_STRETCHES = 400, 4
 FEATURES, UNKNOWN = 1 << 16, "und"
 ROUNDS, RATE, DECAY = 40, 0.25, 1e-5
 #: Words that a task keeps the emissions of, and words that it scores at once; both bound memory, neither what is scored.
@@ -36,7 +36,7 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray
     """(feature, word number) of lower-case words, all at once. With marks at both ends of a word, its letter 2- to 4-grams have its affixes
     among them; suffixes of 4 letters come on top. Lexicons have the numbers from FEATURES on."""
     points = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    owner = np.cumsum(points == ord("^")) - 1
+    owner = np.cumsum(points == ord("^"), dtype=np.int32) - np.int32(1)
     grams, owners = [], []
     for n in (2, 3, 4, 5):
         m = len(points) - n + 1
@@ -48,11 +48,11 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray
         inside = owner[:m] == owner[n - 1 :]
         if n == 5:
             inside &= points[n - 1 :] == ord("$")
-        grams.append(((h[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 16)).astype(np.int64) % FEATURES)
+        grams.append(((h[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 16)).astype(np.int32) % FEATURES)
         owners.append(owner[:m][inside])
     known = [(FEATURES + lexicon[w], i) for i, w in enumerate(words) if w in lexicon]
-    grams.append(np.array([f for f, _ in known], np.int64))
-    owners.append(np.array([i for _, i in known], np.int64))
+    grams.append(np.array([f for f, _ in known], np.int32))
+    owners.append(np.array([i for _, i in known], np.int32))
     return np.concatenate(grams), np.concatenate(owners)
 
 
@@ -73,7 +73,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
     step = np.exp(transitions)
     top = scores.max(axis=2, keepdims=True)
     e = np.exp(scores - top)
-    alpha, scale = np.zeros_like(e), np.ones((n, t))
+    alpha, scale = np.zeros_like(e), np.ones((n, t), e.dtype)
     for i in range(t):
         m = active[i]
         if not m:
@@ -133,7 +133,7 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> dict:
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for r in range(1, ROUNDS + 1):
         words = np.stack([np.bincount(owner, params[0][flat, j], len(vocabulary)) * scale for j in range(k)], axis=1)
-        scores = np.zeros((n * STRETCH, k))
+        scores = np.zeros((n * STRETCH, k), np.float32)
         scores[at] = words[ids]
         gamma, expected = forward_backward(scores.reshape(n, STRETCH, k), lengths, params[1], pairs=True)
         slip = onehot - gamma.reshape(-1, k)[at]
