@@ -1,6 +1,7 @@
 """License scans by an exact set-similarity join.
 
-Template notices are joined with the text blocks of all documents (lines, and hard-wrapped paragraphs) on containment:
+Template notices are joined with the text blocks of all documents (lines, hard-wrapped paragraphs, and in all other paragraphs the stretches
+of words, over any number of lines, that a notice can fill) on containment:
 a block matches if it holds at least THRESHOLD of a template's distinct words. Words are ordered by their document frequency in the
 whole corpus, rarest first. A block that holds c of a template's n words must hold one of its first n - c + 1 (prefix filter), must
 have c words of templates at all (length filter), and, where the first common word stands at places i and j, must have enough words
@@ -12,6 +13,7 @@ A block gets the labels of the templates that it holds most of: licences of one
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from math import ceil
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, doc_text, stage
 
 THRESHOLD = 0.8
-#: A paragraph is hard-wrapped, and so a block, if none of its lines has more words.
+#: A paragraph is hard-wrapped, and so one block, if none of its lines has more words.
 WRAPPED_WORDS = 20
 WORD = rb"[0-9a-z\x80-\xff]+"
 #: Phrases whose places are counted, with their labels.
@@ -53,8 +55,6 @@ def vocabulary_counts(vocabulary: frozenset[bytes]):
     """mapInArrow: (doc_id, text) -> (word, n): documents of the batch that have the word."""
 
     def run(batches: Iterator) -> Iterator:
-        from collections import Counter
-
         import pyarrow as pa
 
         find = re.compile(WORD).findall
@@ -75,6 +75,7 @@ class Index:
         self.rank = {w: i for i, w in enumerate(sorted({w for _, t in templates for w in t}, key=lambda w: (frequency.get(w, 0), w)))}
         self.labels = [label for label, _ in templates]
         self.sets = [t for _, t in templates]
+        self.room = [len(t) / threshold for t in self.sets]
         self.need = [max(1, ceil(threshold * len(t) - 1e-9)) for t in self.sets]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for k, t in enumerate(self.sets):
@@ -103,19 +104,42 @@ class Index:
                     out.append((k, overlap / size))
         return out
 
+    def broken(self, block: set[bytes], words: list[bytes]) -> list[tuple[int, float]]:
+        """(template, greatest containment) of all templates that a stretch of the words holds to the threshold, if no more distinct words stand
+        in it than make the template's share the threshold. block: the set of the words."""
+        out = []
+        for k, _ in self.matches(block):  # what the whole doesn't hold, no stretch does
+            t, n, overlap, best, start = self.sets[k], Counter(), 0, 0, 0
+            for w in words:
+                overlap += w not in n and w in t
+                n[w] += 1
+                while len(n) > self.room[k]:
+                    x = words[start]
+                    start += 1
+                    n[x] -= 1
+                    if not n[x]:
+                        del n[x]
+                        overlap -= x in t
+                best = max(best, overlap)
+            if best >= self.need[k]:
+                out.append((k, best / len(t)))
+        return out
+
 
-def blocks(text: bytes, wrapped: int = WRAPPED_WORDS) -> Iterator[set[bytes]]:
-    """The word sets of the lines, and of the paragraphs of several lines that are hard-wrapped."""
+def blocks(text: bytes, wrapped: int = WRAPPED_WORDS) -> Iterator[tuple[set[bytes], list[bytes] | None]]:
+    """The word sets of the lines and of the paragraphs of several lines, and, if a paragraph isn't hard-wrapped, its words in order: it is
+    searched by stretches, as two words of it may be far from each other."""
     paragraph: list[list[bytes]] = []
     for line in [*text.split(b"\n"), b""]:
         words = words_of(line)
         if line.strip():
             if words:
-                yield set(words)
+                yield set(words), None
             paragraph.append(words)
             continue
-        if len(paragraph) > 1 and max(map(len, paragraph)) <= wrapped:
-            yield {w for x in paragraph for w in x}
+        if len(paragraph) > 1:
+            joined = [w for x in paragraph for w in x]
+            yield set(joined), None if max(map(len, paragraph)) <= wrapped else joined
         paragraph = []
 
 
@@ -153,9 +177,9 @@ def scan_rows(index: Index, phrases=PHRASES):
                                     score = 1.0
                 labels = set(base)
                 if not prefix.isdisjoint(have):
-                    for block in blocks(text):
+                    for block, joined in blocks(text):
                         if not prefix.isdisjoint(block):
-                            found = index.matches(block)
+                            found = index.matches(block) if joined is None else index.broken(block, joined)
                             best = max((c for _, c in found), default=0.0)
                             labels.update(index.labels[template] for template, c in found if c == best)
                             score = max(score, best)

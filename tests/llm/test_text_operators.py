@@ -76,6 +76,30 @@ def test_license_scan_equals_sql(spark, sf):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def scanned(texts):
+    """(labels, score) of each text by the function that runs in the tasks."""
+    import pyarrow as pa
+
+    index = license_scan.Index(license_scan.template_sets(), {}, license_scan.THRESHOLD)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    (out,) = license_scan.scan_rows(index)(iter([batch]))
+    return list(zip(out.column("labels").to_pylist(), out.column("score").to_pylist()))
+
+
+NOTICE = dict(reversed(license_scan.TEMPLATES))
+PROSE = " ".join(f"w{i}" for i in range(40))
+
+
+def test_license_notices_broken_over_lines_of_any_width():
+    bsd = NOTICE["bsd"].split()
+    wide = " ".join([PROSE, *bsd[:9]]) + "\n" + " ".join([*bsd[9:], PROSE])
+    hard = "\n".join(" ".join(bsd[i : i + 4]) for i in range(0, len(bsd), 4))
+    # Words of a notice that are farther from each other than it is long are none.
+    apart = "released under\n" + "\n".join([PROSE] * 2) + "\nthe MIT\nLicense"
+    got = scanned([wide, f"{hard}\n{PROSE}", f"{PROSE}\n{hard}", f"{PROSE}\n\n{hard}", f"x\nLicensed under CC\n!\nBY-NC 4.0\n{PROSE}", apart.replace("MIT", "Mit x")])
+    assert got[:5] == [("bsd", 1.0)] * 4 + [("cc-by-nc", 1.0)] and got[5] == ("", 0.0)
+
+
 def brute_marginals(scores, transitions):
     n, k = scores.shape
     total, out = 0.0, np.zeros((n, k))
