@@ -7,7 +7,7 @@ whole corpus, rarest first. A block that holds c of a template's n words must ho
 have c words of templates at all (length filter), and, where the first common word stands at places i and j, must have enough words
 left behind both (positional filter). What passes is verified, so the join is exact. Words that no template has can't
 count to an overlap, so blocks are cut down to the templates' vocabulary; the templates are a fixed list and are sent to all tasks.
-A block gets the labels of the templates that it holds most of: licences of one family differ in a word.
+A block gets the labels of all templates that it matches, but within a family, whose licences differ in a word, only of those it holds most of.
 """
 
 from __future__ import annotations
@@ -43,6 +43,10 @@ TEMPLATES = (
 )
 
 
+#: Label to family: licences whose notices differ in so few words that one matches where the other stands.
+FAMILIES = {"cc-by-nc": "cc-by", "cc-by-sa": "cc-by"}
+
+
 def words_of(text: bytes) -> list[bytes]:
     return re.findall(WORD, text.lower())
 
@@ -143,6 +147,15 @@ def blocks(text: bytes, wrapped: int = WRAPPED_WORDS) -> Iterator[tuple[set[byte
         paragraph = []
 
 
+def labels_of(index: Index, found: list[tuple[int, float]]) -> set[str]:
+    """The labels of a block's matches, without those that a better one of their family suppresses."""
+    best: dict[str, float] = {}
+    for k, c in found:
+        if family := FAMILIES.get(index.labels[k]):
+            best[family] = max(best.get(family, 0.0), c)
+    return {index.labels[k] for k, c in found if c >= best.get(FAMILIES.get(index.labels[k], ""), 0.0)}
+
+
 def scan_rows(index: Index, phrases=PHRASES):
     """mapInArrow: (doc_id, text) -> (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)."""
     ends: dict[bytes, list[tuple[list[bytes], str]]] = {}
@@ -180,9 +193,8 @@ def scan_rows(index: Index, phrases=PHRASES):
                     for block, joined in blocks(text):
                         if not prefix.isdisjoint(block):
                             found = index.matches(block) if joined is None else index.broken(block, joined)
-                            best = max((c for _, c in found), default=0.0)
-                            labels.update(index.labels[template] for template, c in found if c == best)
-                            score = max(score, best)
+                            labels |= labels_of(index, found)
+                            score = max([score, *(c for _, c in found)])
                 row = (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
                 for column, v in zip(out, row):
                     column.append(v)

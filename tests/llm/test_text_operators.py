@@ -100,6 +100,12 @@ def test_license_notices_broken_over_lines_of_any_width():
     assert got[:5] == [("bsd", 1.0)] * 4 + [("cc-by-nc", 1.0)] and got[5] == ("", 0.0)
 
 
+def test_a_license_hides_no_other_of_another_family():
+    bsd = NOTICE["bsd"].replace("following", "latter").replace("permitted", "allowed")
+    got = scanned([f"{NOTICE['cc-by-nc']} {bsd}", f"{NOTICE['cc-by-sa']} {PROSE}", f"{NOTICE['cc-by-nc']} or BY-SA", f"{NOTICE['mpl']} {NOTICE['apache']}"])
+    assert got == [("bsd,cc-by-nc", 1.0), ("cc-by-sa", 1.0), ("cc-by-nc,cc-by-sa", 1.0), ("apache,mpl", 1.0)]
+
+
 def brute_marginals(scores, transitions):
     n, k = scores.shape
     total, out = 0.0, np.zeros((n, k))
