@@ -298,7 +298,7 @@ FOUND = "kind int, a long, b long, wa long, wb long"
 
 
 def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM):
-    """Cogrouped Arrow function over (members, lists) of one shard: FOUND. kind 0: node a has b more links; 1: an edge of the forest; 2: a linked pair
+    """Cogrouped Arrow function over (members, lists) of one shard: FOUND. kind 0: node a has b more links, with wa other nodes; 1: an edge of the forest; 2: a linked pair
     that shares no shard."""
 
     def run(members, lists):
@@ -352,7 +352,8 @@ def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM)
                 ca, cb, ww = a[counted], b[counted], w[at].astype(np.float64)
                 links = (np.bincount(ca, ww[cb], n) + np.bincount(cb, ww[ca], n)).astype(np.int64)
                 some = links > 0
-                put(0, node[at][some], links[some])
+                near = np.bincount(ca, minlength=n) + np.bincount(cb, minlength=n)
+                put(0, node[at][some], links[some], near[some])
                 root = forest(a, b, n)
                 moved = root != np.arange(n)
                 put(1, node[at][moved], node[at][root[moved]])
@@ -387,7 +388,7 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
 
     Vectors that are null, empty, zero or hold null or non-finite components, rows with null label, and rows without vec_id link with nothing.
     A sample of about `audit` vectors is compared with all; below `least_recall` the work is done again with larger clusters, margin and beam,
-    `wider` times at most. Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other columns
+    `wider` times at most; if the last result is short too, RuntimeError. Links between vectors that differ count, each once, however many copies. Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other columns
     don't matter. Vectors of other dimensions don't link. Empty table: no rows."""
     spark = embeddings.sparkSession
     rows, nodes = prepare(embeddings)
@@ -417,15 +418,17 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     found = dealt.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(search_rows(threshold, margin, beam_size), FOUND)
     found = stage(found, "emb-found")
     cross = found.where("kind = 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("wa")).otherwise(F.col("wb")).alias("wa"), F.when(F.col("a") < F.col("b"), F.col("wb")).otherwise(F.col("wa")).alias("wb")).dropDuplicates(["a", "b"])
-    counts = found.where("kind = 0").select("a", F.col("b").alias("links")).union(cross.select("a", F.col("wb"))).union(cross.select("b", F.col("wa")))
-    counts = counts.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "c_node")
+    counts = found.where("kind = 0").select("a", F.col("b").alias("links"), F.col("wa").alias("near")).union(cross.select("a", F.col("wb"), F.lit(1))).union(cross.select("b", F.col("wa"), F.lit(1)))
+    counts = counts.groupBy("a").agg(F.sum("links").alias("links"), F.sum("near").alias("near")).withColumnRenamed("a", "c_node")
     comp = connected_components(found.where("kind > 0").select("a", "b"))
-    named = nodes.select("h1", "h2", "node", "w").join(counts, F.col("node") == F.col("c_node"), "left").select("h1", "h2", "node", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
-    named = named.join(comp.withColumnRenamed("node", "k_node"), F.col("node") == F.col("k_node"), "left").select("h1", "h2", "n_links", F.coalesce("component", "node").alias("component_id"))
-    if audit and wider:
+    named = nodes.select("h1", "h2", "node", "w").join(counts, F.col("node") == F.col("c_node"), "left").select("h1", "h2", "node", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("near", F.lit(0)).alias("near"))
+    named = named.join(comp.withColumnRenamed("node", "k_node"), F.col("node") == F.col("k_node"), "left").select("h1", "h2", "n_links", "near", F.coalesce("component", "node").alias("component_id"))
+    if audit:
         named = stage(named, "emb-named")
-        there_are = audit_nodes(nodes, named.select("h1", "n_links"), threshold, audit)
-        if there_are[0] < least_recall * there_are[1]:
+        got, there = audit_nodes(nodes.withColumn("w", F.lit(1)), named.select("h1", F.col("near").alias("n_links")), threshold, audit)
+        if got < least_recall * there:
+            if not wider:
+                raise RuntimeError(f"{got} of {there} links of sampled vectors were found, which is less than least_recall = {least_recall}")
             return link_vectors(embeddings, threshold, cap, 2 * per_centroid, 2 * margin, 4 * beam_size, audit, least_recall, wider - 1)
     out = rows.join(named, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "vec_id")

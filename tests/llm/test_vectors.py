@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pytest
 
 from quarry.llm import embedding_dedup, topk
 
@@ -102,6 +103,18 @@ def test_links_equal_brute_force(spark):
     assert there > 0 and found >= 0.97 * there
 
 
+def test_audit_counts_links_of_different_vectors_and_the_last_pass(spark, monkeypatch):
+    near = [[1.0, 0.0], [1.0, 0.01], [1.0, 0.02]]
+    rows = [(i, near[0], 0) for i in range(500)] + [(500 + k, v, 0) for k, v in enumerate(near[1:])] + [(600, [0.0, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    seen, audit_nodes = [], embedding_dedup.audit_nodes
+    monkeypatch.setattr(embedding_dedup, "audit_nodes", lambda *a: seen.append(audit_nodes(*a)) or seen[-1])
+    assert sorted({r.n_links for r in embedding_dedup.link_vectors(df).collect()}) == [0, 501]
+    assert seen == [(6, 6)]  # three vectors, each with two others, whatever the copies
+    with pytest.raises(RuntimeError, match="6 of 6"):
+        embedding_dedup.link_vectors(df, least_recall=1.1, wider=0)
+
+
 def test_link_edges(spark):
     rows = [
         (1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], None), (4, None, 0), (5, [], 0), (6, [0.0, 0.0], 0), (7, [1.0, None], 0), (8, [math.nan, 1.0], 0), (9, [math.inf, 1.0], 0),
