@@ -1,13 +1,12 @@
-"""Line deduplication: winnowing over line hashes.
+"""Line deduplication: a hash join of all windows of lines.
 
 Lines are compared without outer white space; blank lines are not counted. A window is the shortest stretch of whole lines from a line on
-that has MIN_LINES lines or MIN_WORDS words. Of every window the line with the least hash is selected as fingerprint, so two
-documents that share a run as long as a window select the same lines there: no such run is missed. Fingerprints are
-joined, with their window's hash, to the first place in the corpus where they stand; a match is extended line by line, back and forward, as
-long as both places agree, and the later run is deleted.
+that has MIN_LINES lines or MIN_WORDS words. Every window is a row, keyed with its hash (and with that of its least line, which the window's
+fixes), and is joined to the first place in the corpus where it stands; a match is extended line by line, back and forward, as long as both
+places agree, and the later run is deleted. This is not winnowing: no window is left out.
 
-A selected line is keyed with its window's hash, as one line may be the least of windows in unlike surroundings. The join is with one first
-place for each key, so a passage that thousands of documents share costs one row for each of them.
+The join is with one first place for each key, so a passage that thousands of documents share costs one row for each of them. Lines next
+to a window that agree with a later place only, and are no window of their own, stay.
 """
 
 from __future__ import annotations
