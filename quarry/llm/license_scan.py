@@ -1,161 +1,159 @@
 """License scans by an exact set-similarity join.
 
-Template notices are joined with the text blocks of all documents (lines, hard-wrapped paragraphs, and in all other paragraphs the stretches
-of words, over any number of lines, that a notice can fill) on containment:
-a block matches if it holds at least THRESHOLD of a template's distinct words. Words are ordered by their document frequency in the
-whole corpus, rarest first. A block that holds c of a template's n words must hold one of its first n - c + 1 (prefix filter), must
-have c words of templates at all (length filter), and, where the first common word stands at places i and j, must have enough words
-left behind both (positional filter). What passes is verified, so the join is exact. Words that no template has can't
-count to an overlap, so blocks are cut down to the templates' vocabulary; the templates are a fixed list and are sent to all tasks.
-A block gets the labels of all templates that it matches, but within a family, whose licences differ in a word, only of those it holds most of.
+Template notices are joined with the text blocks of all documents on containment. A block is any stretch of consecutive words, over line
+breaks, blank lines and comment marks, that is as long as the notice by THRESHOLD; it matches if it holds at least
+THRESHOLD of the notice's distinct words, and all of those that tell the license from others. Words are ordered by their document
+frequency in the whole corpus, rarest first. A block that holds c of a template's n words must hold one of its first n - c + 1
+(prefix filter), its document must have c of them at all (length filter), and where the first common word stands at places i and
+j, there must be enough words left behind both (positional filter). Only stretches around words of the prefix are looked at then, and
+every one of them is verified, so the join is exact. The templates are a bounded table and are sent to all tasks.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
-from math import ceil
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from math import ceil, floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, doc_text, stage
+from .common import arrow_map, doc_text
 
 THRESHOLD = 0.8
-#: A paragraph is hard-wrapped, and so one block, if none of its lines has more words.
-WRAPPED_WORDS = 20
 WORD = rb"[0-9a-z\x80-\xff]+"
 #: Phrases whose places are counted, with their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: (label, notice).
+#: (label, notice, the words without which a stretch is no such notice).
 TEMPLATES = (
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mit", "Released under the MIT License", "mit license"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction", ""),
+    ("apache", "Licensed under the Apache License, Version 2.0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", ""),
+    ("gpl", "This work is licensed under the GNU General Public License, version 3", "general public license"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "general public license"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ""),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc by nc"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0", "cc by sa"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla"),
 )
-
-
-#: Label to family: licences whose notices differ in so few words that one matches where the other stands.
-FAMILIES = {"cc-by-nc": "cc-by", "cc-by-sa": "cc-by"}
+#: Characters of all notices of a template table at most; it is sent to all tasks.
+MAX_TEMPLATE_CHARS = 32 << 20
 
 
 def words_of(text: bytes) -> list[bytes]:
     return re.findall(WORD, text.lower())
 
 
-def template_sets(templates=TEMPLATES) -> list[tuple[str, frozenset[bytes]]]:
-    return [(label, frozenset(words_of(text.encode()))) for label, text in templates]
-
-
-def vocabulary_counts(vocabulary: frozenset[bytes]):
-    """mapInArrow: (doc_id, text) -> (word, n): documents of the batch that have the word."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        find = re.compile(WORD).findall
-        for batch in batches:
-            n, texts = Counter(), batch.column(1).cast(pa.binary())
-            for k in range(len(texts)):
-                if text := texts[k].as_py():
-                    n.update(vocabulary.intersection(find(text.lower())))
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
-
-    return run
+@dataclass(frozen=True)
+class Template:
+    label: str
+    words: frozenset[bytes]
+    keys: frozenset[bytes]
+    #: Words of a block.
+    room: int
+    #: Distinct words that a block must hold.
+    need: int
+
+
+def read_templates(templates: Sequence[tuple[str, str, str]] | DataFrame = TEMPLATES, threshold: float = THRESHOLD) -> list[Template]:
+    """templates: (label, notice, keys), or a DataFrame with these columns (keys may be null). Notices without words match nothing and go."""
+    if isinstance(templates, DataFrame):
+        rows = templates.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("label", "notice", "keys")])
+        chars = rows.agg(F.sum(F.length("notice"))).first()[0] or 0
+        if chars > MAX_TEMPLATE_CHARS:
+            raise ValueError(f"templates of {chars} characters are more than {MAX_TEMPLATE_CHARS}")
+        templates = sorted(map(tuple, rows.collect()))
+    out = []
+    for label, notice, keys in templates:
+        words = words_of(notice.encode())
+        if words:
+            own = frozenset(words)
+            out.append(Template(label, own, frozenset(words_of(keys.encode())) & own, max(len(own), floor(len(words) / threshold + 1e-9)), max(1, ceil(threshold * len(own) - 1e-9))))
+    return out
+
+
+def document_frequency(texts: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
+    """In how many documents each word of the templates stands, counted in the JVM. One row for each of these words at most comes back."""
+    lower = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    own = F.array_intersect(words, F.array(*[F.lit(w.decode()) for w in sorted(vocabulary)]).cast("array<string>"))
+    rows = texts.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
+    return {r["word"].encode(): r["n"] for r in rows}
 
 
 class Index:
     """Templates by the words of their prefixes, in global order of frequency."""
 
-    def __init__(self, templates: list[tuple[str, frozenset[bytes]]], frequency: dict[bytes, int], threshold: float):
-        self.rank = {w: i for i, w in enumerate(sorted({w for _, t in templates for w in t}, key=lambda w: (frequency.get(w, 0), w)))}
-        self.labels = [label for label, _ in templates]
-        self.sets = [t for _, t in templates]
-        self.room = [len(t) / threshold for t in self.sets]
-        self.need = [max(1, ceil(threshold * len(t) - 1e-9)) for t in self.sets]
+    def __init__(self, templates: list[Template], frequency: dict[bytes, int]):
+        self.templates = templates
+        self.rank = {w: i for i, w in enumerate(sorted({w for t in templates for w in t.words}, key=lambda w: (frequency.get(w, 0), w)))}
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
-        for k, t in enumerate(self.sets):
-            order = sorted(t, key=self.rank.__getitem__)
-            for i, w in enumerate(order[: len(order) - self.need[k] + 1]):
+        self.prefixes: list[frozenset[bytes]] = []
+        for k, t in enumerate(templates):
+            order = sorted(t.words, key=self.rank.__getitem__)[: len(t.words) - t.need + 1]
+            self.prefixes.append(frozenset(order))
+            for i, w in enumerate(order):
                 self.prefix.setdefault(w, []).append((k, i))
-        self.least = min(self.need, default=1)
+        self.least = min((t.need for t in templates), default=1)
 
-    def matches(self, block: set[bytes]) -> list[tuple[int, float]]:
-        """(template, containment) of all templates that the block holds to the threshold."""
-        own = [w for w in block if w in self.rank]
+    def candidates(self, have: set[bytes]) -> list[int]:
+        """The templates that a set of words holds to the threshold; of any other, no part of the set does."""
+        own = sorted(self.rank.keys() & have, key=self.rank.__getitem__)
         if len(own) < self.least:
             return []
-        own.sort(key=self.rank.__getitem__)
         met, out = set(), []
         for j, w in enumerate(own):
             for k, i in self.prefix.get(w, ()):
                 if k in met:
                     continue
                 met.add(k)  # this is the first common word: a later one can only leave less behind it
-                need, size = self.need[k], len(self.sets[k])
-                if len(own) < need or 1 + min(size - i - 1, len(own) - j - 1) < need:
+                t = self.templates[k]
+                if len(own) < t.need or 1 + min(len(t.words) - i - 1, len(own) - j - 1) < t.need or not t.keys <= have:
                     continue
-                overlap = len(self.sets[k].intersection(own))
-                if overlap >= need:
-                    out.append((k, overlap / size))
+                if len(t.words.intersection(own)) >= t.need:
+                    out.append(k)
         return out
 
-    def broken(self, block: set[bytes], words: list[bytes]) -> list[tuple[int, float]]:
-        """(template, greatest containment) of all templates that a stretch of the words holds to the threshold, if no more distinct words stand
-        in it than make the template's share the threshold. block: the set of the words."""
+    def matches(self, words: list[bytes], have: set[bytes]) -> list[tuple[int, float]]:
+        """(template, greatest containment) of all templates that some block of a text's words matches."""
         out = []
-        for k, _ in self.matches(block):  # what the whole doesn't hold, no stretch does
-            t, n, overlap, best, start = self.sets[k], Counter(), 0, 0, 0
-            for w in words:
-                overlap += w not in n and w in t
-                n[w] += 1
-                while len(n) > self.room[k]:
-                    x = words[start]
+        candidates = self.candidates(have)
+        if candidates:
+            wanted = frozenset().union(*[self.templates[k].words for k in candidates])
+            hits = [(i, w) for i, w in enumerate(words) if w in wanted]
+        for k in candidates:
+            t, anchors = self.templates[k], self.prefixes[k]
+            at = [i for i, w in hits if w in anchors]
+            counts: dict[bytes, int] = {}
+            best = start = overlap = keys = n = 0
+            own = []
+            for i, w in hits:
+                if w in t.words:
+                    while n < len(at) and at[n] < i:
+                        n += 1
+                    if (n < len(at) and at[n] - i < t.room) or (n and i - at[n - 1] < t.room):
+                        own.append((i, w))
+            for i, w in own:
+                counts[w] = counts.get(w, 0) + 1
+                if counts[w] == 1:
+                    overlap += 1
+                    keys += w in t.keys
+                while own[start][0] <= i - t.room:
+                    x = own[start][1]
                     start += 1
-                    n[x] -= 1
-                    if not n[x]:
-                        del n[x]
-                        overlap -= x in t
-                best = max(best, overlap)
-            if best >= self.need[k]:
-                out.append((k, best / len(t)))
+                    counts[x] -= 1
+                    if not counts[x]:
+                        overlap -= 1
+                        keys -= x in t.keys
+                if overlap > best and overlap >= t.need and keys == len(t.keys):
+                    best = overlap
+            if best:
+                out.append((k, best / len(t.words)))
         return out
 
 
-def blocks(text: bytes, wrapped: int = WRAPPED_WORDS) -> Iterator[tuple[set[bytes], list[bytes] | None]]:
-    """The word sets of the lines and of the paragraphs of several lines, and, if a paragraph isn't hard-wrapped, its words in order: it is
-    searched by stretches, as two words of it may be far from each other."""
-    paragraph: list[list[bytes]] = []
-    for line in [*text.split(b"\n"), b""]:
-        words = words_of(line)
-        if line.strip():
-            if words:
-                yield set(words), None
-            paragraph.append(words)
-            continue
-        if len(paragraph) > 1:
-            joined = [w for x in paragraph for w in x]
-            yield set(joined), None if max(map(len, paragraph)) <= wrapped else joined
-        paragraph = []
-
-
-def labels_of(index: Index, found: list[tuple[int, float]]) -> set[str]:
-    """The labels of a block's matches, without those that a better one of their family suppresses."""
-    best: dict[str, float] = {}
-    for k, c in found:
-        if family := FAMILIES.get(index.labels[k]):
-            best[family] = max(best.get(family, 0.0), c)
-    return {index.labels[k] for k, c in found if c >= best.get(FAMILIES.get(index.labels[k], ""), 0.0)}
-
-
 def scan_rows(index: Index, phrases=PHRASES):
     """mapInArrow: (doc_id, text) -> (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)."""
     ends: dict[bytes, list[tuple[list[bytes], str]]] = {}
@@ -173,8 +171,7 @@ def scan_rows(index: Index, phrases=PHRASES):
             texts = batch.column(1).cast(pa.binary())
             out: list[list] = [[] for _ in types]
             for k in range(len(texts)):
-                text = texts[k].as_py() or b""
-                words = find(text.lower())
+                words = find((texts[k].as_py() or b"").lower())
                 have = set(words)
                 starts, base, score = [], set(), 0.0
                 for end, wanted in ends.items():
@@ -190,11 +187,9 @@ def scan_rows(index: Index, phrases=PHRASES):
                                     score = 1.0
                 labels = set(base)
                 if not prefix.isdisjoint(have):
-                    for block, joined in blocks(text):
-                        if not prefix.isdisjoint(block):
-                            found = index.matches(block) if joined is None else index.broken(block, joined)
-                            labels |= labels_of(index, found)
-                            score = max([score, *(c for _, c in found)])
+                    for t, c in index.matches(words, have):
+                        labels.add(index.templates[t].label)
+                        score = max(score, c)
                 row = (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
                 for column, v in zip(out, row):
                     column.append(v)
@@ -203,37 +198,34 @@ def scan_rows(index: Index, phrases=PHRASES):
     return run
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES) -> DataFrame:
+def scan(docs: DataFrame, templates: Sequence[tuple[str, str, str]] | DataFrame = TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_base (places of phrases), first_word, last_word (their least and greatest start, else
     null), base_labels, labels, score (the greatest containment of a matched template, 1 with a phrase, else 0).
 
-    Null and empty texts have no words. Texts are read whole, whatever their length; repeated rows give equal rows. Empty table: no rows."""
-    texts, sets = doc_text(docs), template_sets(templates)
-    counts = arrow_map(texts, vocabulary_counts(frozenset(w for _, t in sets for w in t)), "word string, n long")
-    # One row for each word of the templates at most.
-    frequency = {r["word"].encode(): r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    return arrow_map(texts, scan_rows(Index(sets, frequency, threshold), phrases), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    Null and empty texts have no words. Texts are read whole, whatever their length; repeated rows give equal rows, and equal matches one label.
+    Other columns of docs don't matter, whatever their names. Empty table: no rows."""
+    texts, known = doc_text(docs), read_templates(templates, threshold)
+    frequency = document_frequency(texts, frozenset(w for t in known for w in t.words))
+    return arrow_map(texts, scan_rows(Index(known, frequency), phrases), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
-def oracle(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same rows in DuckDB SQL, by comparing every block with every template."""
+def oracle(templates: Sequence[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
+    """The same rows in DuckDB SQL, by comparing every stretch of every text with every template that the whole text could hold."""
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-    rows = ",\n".join(f"({i}, '{label}', [{', '.join(repr(w.decode()) for w in sorted(t))}])" for i, (label, t) in enumerate(template_sets(templates)))
+    quoted = lambda words: "[" + ", ".join(repr(w.decode()) for w in sorted(words)) + "]::VARCHAR[]"
+    rows = ",\n".join(f"('{t.label}', {quoted(t.words)}, {quoted(t.keys)}, {t.room}, {t.need})" for t in read_templates(templates, threshold))
     return f"""
-WITH t(id, label, words) AS (VALUES
+WITH t(label, own, keys, room, need) AS (VALUES
 {rows}),
-d AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
-w AS (SELECT rid, doc_id, text, regexp_extract_all(text, {word}) AS words FROM d),
+w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {word}) AS words FROM documents),
 p AS (SELECT rid, doc_id, len(words)::BIGINT AS n_words,
   list_filter(range(len(words)), lambda i: words[i + 1] = 'mit' AND words[i + 2] = 'license') AS mit,
   list_filter(range(len(words)), lambda i: words[i + 1] = 'apache' AND words[i + 2] = 'license') AS apache,
   list_filter(range(len(words)), lambda i: words[i + 1] = 'general' AND words[i + 2] = 'public' AND words[i + 3] = 'license') AS gpl FROM w),
-lines AS (SELECT rid, pos, unnest(string_split(text, chr(10))) AS line FROM (SELECT rid, text, 0 AS pos FROM d)),
-paragraphs AS (SELECT rid, unnest(regexp_split_to_array(text, '\\n[ \\t\\r\\x0b\\x0c]*\\n')) AS par FROM d),
-wrapped AS (SELECT rid, par FROM paragraphs WHERE len(list_filter(string_split(par, chr(10)), lambda x: len(regexp_extract_all(x, {word})) > {WRAPPED_WORDS})) = 0),
-blocks AS (SELECT row_number() OVER () AS bid, * FROM (SELECT rid, list_distinct(regexp_extract_all(line, {word})) AS words FROM lines UNION ALL SELECT rid, list_distinct(regexp_extract_all(par, {word})) FROM wrapped)),
-m AS (SELECT rid, bid, label, len(list_intersect(b.words, t.words)) / len(t.words) AS c FROM blocks b, t WHERE len(list_intersect(b.words, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)),
-g AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS c FROM (SELECT *, max(c) OVER (PARTITION BY bid) AS best FROM m) WHERE c = best GROUP BY rid),
+able AS (SELECT w.rid, w.words, t.* FROM w, t WHERE len(list_intersect(w.words, t.own)) >= t.need),
+blocks AS (SELECT rid, label, own, keys, need, words, room, unnest(range(greatest(len(words) - room, 0) + 1)) AS pos FROM able),
+m AS (SELECT rid, label, len(list_intersect(b, own)) / len(own) AS c FROM (SELECT *, words[pos + 1 : pos + room] AS b FROM blocks) WHERE len(list_intersect(b, own)) >= need AND len(list_intersect(b, keys)) = len(keys)),
+g AS (SELECT rid, list(DISTINCT label) AS labels, max(c) AS c FROM m GROUP BY rid),
 r AS (SELECT p.*, list_concat(mit, apache, gpl) AS starts, list_concat(CASE WHEN len(apache) > 0 THEN ['apache'] ELSE [] END, CASE WHEN len(gpl) > 0 THEN ['gpl'] ELSE [] END, CASE WHEN len(mit) > 0 THEN ['mit'] ELSE [] END) AS base FROM p)
 SELECT doc_id, n_words, len(starts)::BIGINT AS n_base, list_min(starts)::BIGINT AS first_word, list_max(starts)::BIGINT AS last_word, array_to_string(base, ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(base, coalesce(g.labels, [])))), ',') AS labels,

@@ -51,14 +51,18 @@ def test_chat_parts(spark):
     assert r.expanded_tokens == 2090 and r.n_turns == 2
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.sets(st.sampled_from("abcdefgh"), min_size=1), st.lists(st.sets(st.sampled_from("abcdefghxyz"), min_size=1, max_size=6), min_size=1, max_size=5), st.sampled_from((0.5, 0.7, 0.8, 1.0)))
-def test_similarity_join_is_exact(block, templates, threshold):
-    sets = [(str(i), frozenset(w.encode() for w in t)) for i, t in enumerate(templates)]
-    index = license_scan.Index(sets, {w.encode(): n for n, w in enumerate("hgfedcbaxyz")}, threshold)
-    own = {w.encode() for w in block}
-    want = {(k, len(t & own) / len(t)) for k, (_, t) in enumerate(sets) if len(t & own) >= threshold * len(t) - 1e-9}
-    assert set(index.matches(own)) == want
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=40), st.lists(st.tuples(st.lists(st.sampled_from("abcdefghxyz"), min_size=1, max_size=6), st.booleans()), min_size=1, max_size=5), st.sampled_from((0.5, 0.7, 0.8, 1.0)))
+def test_similarity_join_is_exact(text, templates, threshold):
+    known = license_scan.read_templates([(str(i), " ".join(t), t[0] if key else "") for i, (t, key) in enumerate(templates)], threshold)
+    index = license_scan.Index(known, {w.encode(): n for n, w in enumerate("hgfedcbaxyz")})
+    words = [w.encode() for w in text]
+    want = set()
+    for k, t in enumerate(known):
+        held = [len(t.words.intersection(words[i : i + t.room])) for i in range(len(words)) if t.keys <= set(words[i : i + t.room])]
+        if max(held, default=0) >= threshold * len(t.words) - 1e-9:
+            want.add((k, max(held) / len(t.words)))
+    assert set(index.matches(words, set(words))) == want
 
 
 def test_license_scan_equals_sql(spark, sf):
@@ -80,13 +84,13 @@ def scanned(texts):
     """(labels, score) of each text by the function that runs in the tasks."""
     import pyarrow as pa
 
-    index = license_scan.Index(license_scan.template_sets(), {}, license_scan.THRESHOLD)
+    index = license_scan.Index(license_scan.read_templates(), {})
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
     (out,) = license_scan.scan_rows(index)(iter([batch]))
     return list(zip(out.column("labels").to_pylist(), out.column("score").to_pylist()))
 
 
-NOTICE = dict(reversed(license_scan.TEMPLATES))
+NOTICE = {label: notice for label, notice, _ in reversed(license_scan.TEMPLATES)}
 PROSE = " ".join(f"w{i}" for i in range(40))
 
 
@@ -94,18 +98,32 @@ def test_license_notices_broken_over_lines_of_any_width():
     bsd = NOTICE["bsd"].split()
     wide = " ".join([PROSE, *bsd[:9]]) + "\n" + " ".join([*bsd[9:], PROSE])
     hard = "\n".join(" ".join(bsd[i : i + 4]) for i in range(0, len(bsd), 4))
+    two = "\n".join(" ".join(x) for x in (bsd[:13], bsd[13:]))
     # Words of a notice that are farther from each other than it is long are none.
-    apart = "released under\n" + "\n".join([PROSE] * 2) + "\nthe MIT\nLicense"
-    got = scanned([wide, f"{hard}\n{PROSE}", f"{PROSE}\n{hard}", f"{PROSE}\n\n{hard}", f"x\nLicensed under CC\n!\nBY-NC 4.0\n{PROSE}", apart.replace("MIT", "Mit x")])
-    assert got[:5] == [("bsd", 1.0)] * 4 + [("cc-by-nc", 1.0)] and got[5] == ("", 0.0)
+    apart = "released under\n" + "\n".join([PROSE] * 2) + "\nthe Mit x\nLicense"
+    got = scanned([wide, f"{hard}\n{PROSE}", f"{PROSE}\n{hard}", f"{PROSE}\n\n{hard}", hard.replace("\n", "\n\n# "), f"{PROSE} {two} {PROSE}", f"x\nLicensed under CC\n!\nBY-NC 4.0\n{PROSE}", apart])
+    assert got[:6] == [("bsd", 1.0)] * 6 and got[6:] == [("cc-by-nc", 1.0), ("", 0.0)]
 
 
-def test_a_license_hides_no_other_of_another_family():
+def test_a_license_hides_no_other():
     bsd = NOTICE["bsd"].replace("following", "latter").replace("permitted", "allowed")
-    got = scanned([f"{NOTICE['cc-by-nc']} {bsd}", f"{NOTICE['cc-by-sa']} {PROSE}", f"{NOTICE['cc-by-nc']} or BY-SA", f"{NOTICE['mpl']} {NOTICE['apache']}"])
+    got = scanned([f"{NOTICE['cc-by-nc']} {bsd}", f"{NOTICE['cc-by-sa']} {PROSE}", f"{NOTICE['cc-by-nc']} or {NOTICE['cc-by-sa']}", f"{NOTICE['mpl']} {NOTICE['apache']}"])
     assert got == [("bsd,cc-by-nc", 1.0), ("cc-by-sa", 1.0), ("cc-by-nc,cc-by-sa", 1.0), ("apache,mpl", 1.0)]
 
 
+def test_sentences_that_are_no_notice_of_the_license():
+    album = "The album was released on Monday under the new label with a license"
+    got = scanned(["Released under the Apache License", "Licensed under CC BY 4.0", album, f"{album}\n" * 300, "Research at MIT was released under the university license", NOTICE["mit"], "licensed under the General Public License"])
+    assert [x for x, _ in got] == ["apache", "", "", "", "", "mit", "gpl"]
+
+
+def test_license_templates_are_a_table(spark):
+    own = spark.createDataFrame([("beer", "buy the author a beer in return", "beer"), ("none", None, None), ("wine", "buy me wine", None)], "label string, notice string, keys string")
+    docs = spark.createDataFrame([(1, "you may Buy the author\n\na Beer, in return"), (2, "buy the author a house in return"), (3, "buy me WINE"), (4, "mit license")], "doc_id long, text string")
+    assert {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs, own).collect()} == {1: ("beer", 1.0), 2: ("", 0.0), 3: ("wine", 1.0), 4: ("mit", 1.0)}
+    assert {r.labels for r in license_scan.scan(docs, own.limit(0)).collect()} == {"", "mit"}
+
+
 def brute_marginals(scores, transitions):
     n, k = scores.shape
     total, out = 0.0, np.zeros((n, k))
