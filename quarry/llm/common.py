@@ -19,15 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``). Only where that is unset: a temporary
-    folder in local mode, else a folder in the warehouse."""
+    """The shared folder of the session (``spark.checkpoint.dir``). Where that is unset: a temporary folder in local mode;
+    on a cluster there is no folder that surely all machines share, so it must be set there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
     if spark.conf.get("spark.master", "").startswith("local") and "cluster" not in spark.conf.get("spark.master", ""):
         base = "file://" + tempfile.mkdtemp(prefix="quarry-")
     else:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     spark.conf.set("spark.quarry.scratch", base)
     return base
 
@@ -46,6 +46,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a filter of keys at most: 16 MB.
+FILTER_BITS = 1 << 27
+
+
+def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may stand in keys, rows whose key surely doesn't), so that the latter need no shuffle. keys: one column of longs, staged. A bit for
+    each key is set in a bitmap of at most FILTER_BITS, which is sent to all tasks; beyond that many keys more rows may."""
+    bits = min(FILTER_BITS, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+    place = lambda k: F.pmod(F.xxhash64(k), F.lit(bits))
+    at = place(F.col(keys.columns[0]))
+    bitmap = keys.groupBy(F.bitmap_bucket_number(at).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bitmap"))
+    bitmap = F.broadcast(stage(bitmap, "filter"))
+    bit = F.bitmap_bit_position(place(key)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), F.shiftright(bit, 3) + F.lit(1), F.lit(1))), 16, 10).cast("int")
+    found = rows.join(bitmap, F.bitmap_bucket_number(place(key)) == F.col("_bucket"), "left")
+    hit = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return found.where(hit).drop("_bucket", "_bitmap"), found.where(~hit).drop("_bucket", "_bitmap")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches for Python are bounded in bytes as well as in rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

@@ -1,12 +1,18 @@
-"""Line deduplication: a hash join of all windows of lines.
-
-Lines are compared without outer white space; blank lines are not counted. A window is the shortest stretch of whole lines from a line on
-that has MIN_LINES lines or MIN_WORDS words. Every window is a row, keyed with its hash (and with that of its least line, which the window's
-fixes), and is joined to the first place in the corpus where it stands; a match is extended line by line, back and forward, as long as both
-places agree, and the later run is deleted. This is not winnowing: no window is left out.
-
-The join is with one first place for each key, so a passage that thousands of documents share costs one row for each of them. Lines next
-to a window that agree with a later place only, and are no window of their own, stay.
+"""Line deduplication by winnowing over line hashes.
+
+Lines are compared without outer white space; blank lines are not counted. A window is a stretch of MIN_LINES lines, or of fewer lines with at
+least MIN_WORDS words. A window is repeated if the same lines stand at an earlier place and end there before it begins; all lines of repeated
+windows go. As any longer run is covered by its windows, every line of every run that repeats an earlier one goes, whichever
+earlier place that is.
+
+* In each window the line with the least hash is selected (the first of equal ones): equal windows select the same line. A selected line is one
+  fingerprint, however many windows selected it. What repeats has fingerprints that repeat, so fingerprints whose hash stands once in the corpus go
+  at once, and with them most of the text.
+* Places with the same fingerprint are joined, split by the hash of each of their windows, so that a line that a third of all documents
+  share doesn't meet in one task. A class has one first place, which is joined to the others: no pairs.
+* A match extends as far back and forward as further windows match; what overlaps or touches is one run.
+* The lines of all members of a class are compared before anything goes. Where a hash stands for different lines, its class is split by the
+  lines themselves.
 """
 
 from __future__ import annotations
@@ -16,103 +22,137 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stage
+from .common import arrow_map, split_by_keys, stage
 
 MIN_LINES, MIN_WORDS = 3, 50
-WINDOWS = "doc_id long, text_hash long, line int, stop int, at int, fp long, window_hash long, before array<long>, after array<long>"
+SPOTS = "doc_id long, text_hash long, fp long, windows array<struct<first:int,n:int,hash:long>>"
+
+
+def lines_of(text: bytes) -> list[bytes]:
+    """The lines that aren't blank, without outer white space."""
+    return [x for x in map(bytes.strip, text.split(b"\n")) if x]
 
 
-def window_rows(min_lines: int = MIN_LINES, min_words: int = MIN_WORDS):
-    """A mapInArrow function: (doc_id, text_hash, text) -> WINDOWS. line, stop: the window's first line and the line after its last, counting
-    lines that aren't blank; at: the selected line. before and after: hashes of the lines next to the window, nearest first, as many as an
-    extension can reach without holding a window of its own."""
+def windows_of(words: list[int], min_lines: int, min_words: int) -> Iterator[tuple[int, int]]:
+    """(first line, number of lines) of all windows of a text whose lines have so many words."""
+    for first in range(len(words)):
+        total = 0
+        for n in range(1, min(min_lines, len(words) - first) + 1):
+            total += words[first + n - 1]
+            if n == min_lines or total >= min_words:
+                yield first, n
+
+
+def spot_rows(min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, digest=None):
+    """A mapInArrow function: (doc_id, text_hash, text) -> SPOTS: each selected line once, with the windows that selected it. digest: bytes to an
+    unsigned 64-bit hash."""
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import xxhash
 
-        digest = xxhash.xxh3_64_intdigest
-        signed = lambda h: h - (1 << 64) if h >> 63 else h
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        names = [x.split()[0] for x in WINDOWS.split(", ")]
-        reach = min_lines - 1
+        hashed = digest or xxhash.xxh3_64_intdigest
         for batch in batches:
             ids, hashes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
-            out: list[list] = [[] for _ in names]
+            out_doc, out_fp, sizes = [], [], []
+            firsts, ns, keys = [], [], []
             for k in range(len(ids)):
-                lines = [x for x in map(bytes.strip, (texts[k].as_py() or b"").split(b"\n")) if x]
-                n = len(lines)
-                h = [digest(x) for x in lines]
-                words = [len(x.split()) for x in lines]
-                s = [signed(x) for x in h]
-                stop = total = 0
-                for line in range(n):
-                    if stop < line:
-                        stop, total = line, 0
-                    while stop < n and stop - line < min_lines and total < min_words:
-                        total += words[stop]
-                        stop += 1
-                    if stop - line < min_lines and total < min_words:
-                        break  # the rest is shorter than a window
-                    at = min(range(line, stop), key=h.__getitem__)
-                    window = signed(digest(b"".join(x.to_bytes(8, "little") for x in h[line:stop])))
-                    for column, v in zip(out, (ids[k], hashes[k], line, stop, at, s[at], window, s[max(0, line - reach) : line][::-1], s[stop : stop + reach])):
-                        column.append(v)
-                    total -= words[line]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=names)
+                lines = lines_of(texts[k].as_py() or b"")
+                h = [hashed(x) for x in lines]
+                raw = np.array(h, "<u8").tobytes()
+                by_place: dict[int, list[tuple[int, int]]] = {}
+                for first, n in windows_of([len(x.split()) for x in lines], min_lines, min_words):
+                    own = h[first : first + n]
+                    by_place.setdefault(first + own.index(min(own)), []).append((first, n))
+                for place, windows in by_place.items():
+                    out_doc.append(k)
+                    out_fp.append(h[place])
+                    sizes.append(len(windows))
+                    for first, n in windows:
+                        firsts.append(first)
+                        ns.append(n)
+                        keys.append(hashed(raw[8 * first : 8 * (first + n)]))
+            signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
+            windows = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), pa.array(ns, pa.int32()), signed(keys)], names=["first", "n", "hash"])
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int32))
+            at = pa.array(out_doc, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), signed(out_fp), pa.ListArray.from_arrays(offsets, windows)], names=["doc_id", "text_hash", "fp", "windows"])
 
     return run
 
 
-def common_lead(a: str, b: str):
-    """How many first elements of two arrays agree."""
-    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> x <=> y AND x IS NOT NULL), named_struct('n', 0, 'on', true), (s, ok) -> named_struct('n', s.n + int(s.on AND ok), 'on', s.on AND ok), s -> s.n)")
+#: A place of a window: earlier is by doc_id (null before all others), then by the hash of the text, then by line.
+PLACE = ("doc_id", "text_hash", "first")
+CLASS = ("fp", "hash", "n")
+
+
+def later(src: str):
+    """Whether a window stands behind the first place of its class and doesn't overlap it."""
+    same = F.col("doc_id").eqNullSafe(F.col(f"{src}.doc_id")) & (F.col("text_hash") == F.col(f"{src}.text_hash"))
+    return ~(same & (F.col("first") < F.col(f"{src}.first") + F.col("n")))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, runs): the later runs of each document, [first, last] by lines that aren't blank, and the place each repeats.
-    docs: doc_id, text_hash, text. "Earlier" is by doc_id, then by line; a null doc_id is before all others."""
-    rows = stage(arrow_map(docs.select("doc_id", "text_hash", "text"), window_rows(min_lines, min_words), WINDOWS), "lines-windows")
-    place = F.struct("doc_id", "text_hash", "line", "stop", "before", "after")
-    first = rows.groupBy("fp", "window_hash").agg(F.min(place).alias("src"), F.count("*").alias("n")).where("n > 1").drop("n")
-    found = rows.join(first, ["fp", "window_hash"]).where(~(F.col("doc_id").eqNullSafe(F.col("src.doc_id")) & (F.col("text_hash") == F.col("src.text_hash")) & (F.col("line") == F.col("src.line"))))
-    lo, hi = F.col("line") - common_lead("before", "src.before"), F.col("stop") - 1 + common_lead("after", "src.after")
-    # An extension back stops short of the source when both are in one document, so a run never takes its own source with it.
-    same = F.col("doc_id").eqNullSafe(F.col("src.doc_id")) & (F.col("text_hash") == F.col("src.text_hash"))
-    lo = F.when(same, F.greatest(lo, F.least(F.col("line"), F.col("src.stop")))).otherwise(lo)
-    run = F.struct(lo.alias("first"), hi.alias("last"), F.col("src.doc_id").alias("src_doc"), (F.col("src.line") - (F.col("line") - lo)).alias("src_line"))
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_list(run).alias("runs"))
+def matched_windows(docs: DataFrame, min_lines: int, min_words: int, digest=None) -> DataFrame:
+    """(doc_id, text_hash, windows): for each document with a window that stands more than once, these windows: first, n, fp, hash, and gone (it repeats an
+    earlier one, as far as hashes tell). docs: doc_id, text_hash, text."""
+    spots = stage(arrow_map(docs.select("doc_id", "text_hash", "text"), spot_rows(min_lines, min_words, digest), SPOTS), "lines-spots")
+    shared = spots.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    windows = spots.join(shared, "fp").select("doc_id", "text_hash", "fp", F.explode("windows").alias("w")).select("doc_id", "text_hash", "fp", "w.*")
+    windows = stage(windows, "lines-windows")
+    place = F.struct(*PLACE)
+    first = windows.groupBy(*CLASS).agg(F.min(place).alias("src"), F.max(place).alias("last")).where("src != last").drop("last")
+    found = windows.join(first, list(CLASS)).withColumn("gone", later("src"))
+    return found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n", "fp", "hash", "gone")).alias("windows"))
+
+
+def class_texts(batches: Iterator) -> Iterator:
+    """mapInArrow: (doc_id, text_hash, text, windows) -> (fp, hash, n, doc_id, text_hash, first, lines): the lines of each window."""
+    import pyarrow as pa
+
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    for batch in batches:
+        out: list[list] = [[] for _ in types]
+        texts = batch.column(2).cast(pa.binary())
+        for k in range(batch.num_rows):
+            doc_id, text_hash, windows = (batch.column(i)[k].as_py() for i in (0, 1, 3))
+            lines = lines_of(texts[k].as_py() or b"")
+            for w in windows:
+                for column, v in zip(out, (w["fp"], w["hash"], w["n"], doc_id, text_hash, w["first"], b"\n".join(lines[w["first"] : w["first"] + w["n"]]))):
+                    column.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=[*CLASS, *PLACE, "lines"])
 
 
 def delete_runs(text_name: str):
-    """A mapInArrow function: takes (columns of docs ..., runs), gives (columns ..., n_lines, n_deleted, deleted_words)."""
+    """A mapInArrow function: takes (columns of docs ..., windows), gives (columns ..., _n_lines, _n_deleted, _deleted_words). Windows that are gone and
+    overlap or touch are one run, and blank lines inside a run go with it."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             at = batch.schema.get_field_index(text_name)
-            runs = batch.column(batch.num_columns - 1)
+            windows = batch.column(batch.num_columns - 1)
             texts = batch.column(at)
             out, n_lines, n_deleted, words = [], [], [], []
             for k in range(batch.num_rows):
                 text = texts[k].as_py()
-                found = runs[k].as_py()
                 lines = (text or "").split("\n")
                 full = [i for i, x in enumerate(lines) if x.encode().strip()]
                 n_lines.append(len(full))
                 gone = set()
-                for r in found or ():
-                    gone.update(range(r["first"], r["last"] + 1))
+                for w in windows[k].as_py() or ():
+                    if w["gone"]:
+                        gone.update(range(w["first"], w["first"] + w["n"]))
                 n_deleted.append(len(gone))
                 if gone:
-                    drop, w = set(), 0
+                    drop, n = set(), 0
                     for i in gone:
                         drop.add(full[i])
-                        w += len(lines[full[i]].encode().split())
-                        if i + 1 in gone:  # blank lines inside a run go with it
+                        n += len(lines[full[i]].encode().split())
+                        if i + 1 in gone:
                             drop.update(range(full[i], full[i + 1]))
-                    words.append(w)
+                    words.append(n)
                     text = "\n".join(x for i, x in enumerate(lines) if i not in drop)
                 else:
                     words.append(0)
@@ -125,37 +165,59 @@ def delete_runs(text_name: str):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+WINDOWS = "array<struct<first:int,n:int,fp:long,hash:long,gone:boolean>>"
+
+
+def verified(touched: DataFrame) -> DataFrame:
+    """touched (doc_id, text_hash, text, _windows and other columns) with the windows' `gone` as the lines themselves say. The lines of a class are compared by
+    their least and greatest, each task sends two rows a class at most; only classes that turn out mixed are looked at again, by lines."""
+    texts = arrow_map(touched.select(F.col("_run_doc").alias("doc_id"), F.col("_run_hash").alias("text_hash"), F.col("text").cast("string").alias("text"), F.col("_windows").alias("windows")), class_texts, "fp long, hash long, n int, doc_id long, text_hash long, first int, lines binary")
+    mixed = stage(texts.groupBy(*CLASS).agg(F.min("lines").alias("a"), F.max("lines").alias("b")).where("a != b").select(*CLASS), "lines-mixed")
+    if mixed.isEmpty():
+        return touched
+    again = stage(texts.join(mixed, list(CLASS), "left_semi"), "lines-again")
+    first = again.groupBy(*CLASS, "lines").agg(F.min(F.struct(*PLACE)).alias("src"))
+    again = again.join(first, [*CLASS, "lines"]).withColumn("gone", later("src"))
+    again = again.groupBy(F.col("doc_id").alias("v_doc"), F.col("text_hash").alias("v_hash")).agg(F.collect_set(F.struct("first", "n", "fp", "hash", "gone")).alias("v_windows"))
+    joined = touched.join(again, F.col("_run_doc").eqNullSafe(F.col("v_doc")) & (F.col("_run_hash") == F.col("v_hash")), "left")
+    other = lambda w: ~F.exists("v_windows", lambda v: (v["first"] == w["first"]) & (v["n"] == w["n"]))
+    now = F.when(F.col("v_windows").isNull(), F.col("_windows")).otherwise(F.concat(F.filter("_windows", other), F.col("v_windows")))
+    return joined.withColumn("_windows", now).drop("v_doc", "v_hash", "v_windows")
+
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, digest=None) -> DataFrame:
     """docs (doc_id, text and any other columns) with the later repeated runs cut from text, and _n_lines (lines that aren't blank, before),
     _n_deleted, _deleted_words.
 
     Null texts stay null and empty ones empty. Rows with the same doc_id and text are one document: what stays of one stays of all.
-    Rows with the same doc_id and other text are documents of their own. Within a document a repeated run goes too; the first place stays.
-    Columns that already have one of the new names, or _runs, _run_doc or _run_hash, are replaced. Empty table: no rows."""
-    docs = docs.drop("_n_lines", "_n_deleted", "_deleted_words", "_runs", "_run_doc", "_run_hash")
-    key = F.xxhash64(F.col("text").cast("string"))
-    runs = repeated_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("text_hash"), F.col("text").cast("string").alias("text")), min_lines, min_words)
-    runs = runs.select(F.col("doc_id").alias("_run_doc"), F.col("text_hash").alias("_run_hash"), F.col("runs").alias("_runs"))
-    own = docs.join(runs.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_run_doc")) & (key == F.col("_run_hash")), "left").select(*[docs[c] for c in docs.columns], F.col("_runs"))
+    Rows with the same doc_id and other text are documents of their own, and so are rows without doc_id. Within a document a repeated run goes too,
+    where it doesn't overlap its first place: of a line that stands six times in a row, three stay. Very long texts and lines are taken whole.
+    Columns that already have one of the new names, or _windows, _run_doc, _run_hash or _run_key, are replaced. Empty table: no rows."""
+    docs = docs.drop("_n_lines", "_n_deleted", "_deleted_words", "_windows", "_run_doc", "_run_hash", "_run_key")
+    keyed = docs.withColumns({"_run_doc": F.col("doc_id").cast("long"), "_run_hash": F.xxhash64(F.col("text").cast("string"))})
+    found = matched_windows(keyed.select(F.col("_run_doc").alias("doc_id"), F.col("_run_hash").alias("text_hash"), F.col("text").cast("string").alias("text")), min_lines, min_words, digest)
+    found = stage(found.select(F.col("doc_id").alias("_w_doc"), F.col("text_hash").alias("_w_hash"), F.xxhash64("doc_id", "text_hash").alias("_w_key"), F.col("windows").alias("_windows")), "lines-found")
+    near, rest = split_by_keys(keyed, F.xxhash64("_run_doc", "_run_hash"), found.select("_w_key"))
+    own = near.join(found.drop("_w_key"), F.col("_run_doc").eqNullSafe(F.col("_w_doc")) & (F.col("_run_hash") == F.col("_w_hash")), "left").drop("_w_doc", "_w_hash")
+    own = stage(own, "lines-touched")
+    own = verified(own.where("_windows is not null")).unionByName(own.where("_windows is null"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_lines int, _n_deleted int, _deleted_words long"
-    return arrow_map(own, delete_runs("text"), schema)
+    cut = lambda rows: arrow_map(rows.select(*[f"`{c}`" for c in docs.columns], "_windows"), delete_runs("text"), schema)
+    return cut(own).unionByName(cut(rest.withColumn("_windows", F.lit(None).cast(WINDOWS))))
 
 
 def oracle(min_words: int = MIN_WORDS) -> str:
     """The query in DuckDB SQL: windows are compared by their text, line by line (for windows of MIN_LINES = 3 lines)."""
-    same = lambda a, b: f"CASE WHEN {a}[1] = {b}[1] THEN CASE WHEN {a}[2] = {b}[2] THEN 2 ELSE 1 END ELSE 0 END"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 raw AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d WHERE text IS NOT NULL),
 marked AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
 numbered AS (SELECT *, t <> '' AS full_, count(*) FILTER (WHERE t <> '') OVER (PARTITION BY rid ORDER BY pos) - 1 AS i FROM marked),
 l AS (SELECT rid, doc_id, i, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w FROM numbered WHERE full_),
-near AS (SELECT *, lead(w) OVER o AS w2, [lag(t) OVER o, lag(t, 2) OVER o] AS before, [t, lead(t) OVER o, lead(t, 2) OVER o, lead(t, 3) OVER o, lead(t, 4) OVER o] AS ahead FROM l WINDOW o AS (PARTITION BY rid ORDER BY i)),
-sized AS (SELECT *, CASE WHEN w >= {min_words} THEN 1 WHEN w + w2 >= {min_words} THEN 2 WHEN ahead[3] IS NOT NULL THEN 3 END AS n FROM near),
-win AS (SELECT rid, doc_id, i, n, list_slice(ahead, 1, n) AS key, before, list_slice(ahead, n + 1, n + 2) AS after FROM sized WHERE n IS NOT NULL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, rid, i) AS r FROM win),
-found AS (SELECT m.rid, CASE WHEN m.rid = f.rid THEN greatest(m.i - ({same('m.before', 'f.before')}), least(m.i, f.i + f.n)) ELSE m.i - ({same('m.before', 'f.before')}) END AS lo,
-  m.i + m.n - 1 + ({same('m.after', 'f.after')}) AS hi FROM ranked m JOIN ranked f ON m.key = f.key AND f.r = 1 WHERE m.r > 1),
+ahead AS (SELECT rid, doc_id, i, [t, lead(t) OVER o, lead(t, 2) OVER o] AS t, [w, w + lead(w) OVER o] AS w FROM l WINDOW o AS (PARTITION BY rid ORDER BY i)),
+win AS (SELECT rid, doc_id, i, n, list_slice(t, 1, n) AS key FROM ahead, (SELECT unnest([1, 2, 3]) AS n) WHERE t[n] IS NOT NULL AND (n = 3 OR w[n] >= {min_words})),
+ranked AS (SELECT *, first_value(rid) OVER p AS f_rid, first_value(i) OVER p AS f_i FROM win WINDOW p AS (PARTITION BY key ORDER BY doc_id NULLS FIRST, rid, i)),
+found AS (SELECT rid, i AS lo, i + n - 1 AS hi FROM ranked WHERE NOT (rid = f_rid AND i < f_i + n)),
 gone AS (SELECT DISTINCT rid, unnest(range(lo, hi + 1)) AS i FROM found),
 kept AS (SELECT x.rid, x.line, x.pos, x.full_, g.i IS NOT NULL AS here, h.i IS NOT NULL AS next_ FROM numbered x LEFT JOIN gone g ON x.rid = g.rid AND x.i = g.i LEFT JOIN gone h ON x.rid = h.rid AND x.i + 1 = h.i),
 texts AS (SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT (here AND (full_ OR next_))), '') AS text, count(*) FILTER (WHERE full_) AS n_lines FROM kept GROUP BY rid),

@@ -6,8 +6,10 @@ import duckdb
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry.llm import line_dedup, simhash
+from quarry.llm.common import split_by_keys
 from quarry.llm.components import connected_components
 
 
@@ -82,57 +84,82 @@ def test_pigeonring(x, bits):
 
 
 def brute_lines(docs, min_lines=3, min_words=50):
-    """Deleted lines by brute force: every stretch that is as long as a window, repeats an earlier one, and what extends it."""
-    seen, places, gone = {}, {}, {}
-    flat = {}
-    for key in sorted(docs):
-        flat[key] = [x.strip() for x in docs[key].split("\n") if x.strip()]
-    order = sorted(flat)
-    for d in order:
+    """What is left of each text, from the definition alone: of every stretch of lines, however long, that is long enough and has an equal one earlier that ends before
+    it begins, all lines go."""
+    flat = {d: [x.strip() for x in docs[d].split("\n") if x.strip()] for d in docs}
+    places, gone = {}, {d: set() for d in docs}
+    for d in sorted(flat):
         lines = flat[d]
         for i in range(len(lines)):
             for j in range(i + 1, len(lines) + 1):
                 if j - i >= min_lines or sum(len(x.split()) for x in lines[i:j]) >= min_words:
-                    seen.setdefault(tuple(lines[i:j]), (d, i))
-                    if seen[tuple(lines[i:j])] != (d, i):
-                        gone.setdefault(d, set()).update(range(i, j))
-                    break
-    return {d: gone.get(d, set()) for d in order}
+                    places.setdefault(tuple(lines[i:j]), []).append((d, i, j))
+    for same in places.values():
+        for d, i, j in same:
+            if any(e < d or (e == d and y <= i) for e, x, y in same):
+                gone[d].update(range(i, j))
+    return {d: [x for i, x in enumerate(flat[d]) if i not in gone[d]] for d in docs}
 
 
-def kept_text(lines, gone):
-    return [x for i, x in enumerate(lines) if i not in gone]
+def cut(spark, docs, **options):
+    return {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), **options).collect()}
 
 
 def test_line_dedup_small(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = {
         1: "a\nb\nc\nd\ne", 2: "x\na\nb\n\nc\ny", 3: "a\nb\nq\nd\ne", 4: f"p\n{long}\nq", 5: f"  {long} \nq\nz", 6: "b\nc\nd\ne\nf",
-        7: "r\nr\nr\nr\nr\nr", 8: "short line", 9: "short line", 10: "",
+        7: "r\nr\nr\nr\nr\nr", 8: "short line", 9: "short line", 10: "", 12: f"{long} {long}" * 3000 + "\nend", 13: f"{long} {long}" * 3000,
     }
-    df = spark.createDataFrame([(d, t, 1) for d, t in docs.items()] + [(None, "a\nb\nc", 2), (11, None, 3)], "doc_id long, text string, runs int")
+    df = spark.createDataFrame([(d, t, 1) for d, t in docs.items()] + [(None, "a\nb\nc", 2), (11, None, 3)], "doc_id long, text string, _windows int")
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got[None] == "a\nb\nc" and got[1] == "d\ne"  # a null id is first
-    assert got[2] == "x\ny" and got[3] == docs[3] and got[4] == docs[4] and got[5] == "z" and got[7] == "r"
-    assert got[6] == "b\nf" or got[6] == "f"
-    assert got[8] == got[9] == "short line" and got[10] == "" and got[11] is None
+    assert got[2] == "x\ny" and got[3] == docs[3] and got[4] == docs[4] and got[5] == "z" and got[6] == "f" and got[7] == "r\nr\nr"
+    assert got[8] == got[9] == "short line" and got[10] == "" and got[11] is None and got[12] == docs[12] and got[13] == ""
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
-def test_line_dedup_random(spark):
+def test_line_dedup_finds_runs_of_any_earlier_place(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(30))
+    assert cut(spark, {1: f"{a}\nx", 2: f"{a}\n{b}\ny", 3: f"{a}\n{b}\nz"}) == {1: f"{a}\nx", 2: f"{b}\ny", 3: "z"}
+
+
+def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(3)
-    for words in (1, 20):
-        bank = [" ".join([f"l{i}"] * rng.choice((1, words, 30))) for i in range(12)]
-        docs = {d: "\n".join(rng.choice(bank) for _ in range(rng.randint(0, 14))) for d in range(60)}
-        got = {r.doc_id: (r.text or "").split("\n") for r in line_dedup.dedup_lines(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
-        for d, gone in brute_lines(docs).items():
-            lines = docs[d].split("\n")
-            rest = kept_text(lines, gone)
-            # what brute force deletes goes; an extension may take neighbours that agree too
-            left = [x for x in got[d] if x]
-            assert len(left) <= len([x for x in rest if x])
-            it = iter(rest)
-            assert all(x in it for x in left)
+    for words in (1, 20, 30):
+        bank = [" ".join([f"l{i}"] * rng.choice((1, words, 30))) for i in range(9)]
+        docs = {d: "\n".join(rng.choice(bank) for _ in range(rng.randint(0, 14))) for d in range(50)}
+        got = cut(spark, docs)
+        assert {d: [x for x in t.split("\n") if x] for d, t in got.items()} == brute_lines(docs)
+
+
+def test_line_dedup_compares_lines_where_hashes_collide(spark):
+    rng = random.Random(9)
+    bank = [f"line {i}" for i in range(30)]
+    docs = {d: "\n".join(rng.choice(bank) for _ in range(rng.randint(0, 10))) for d in range(60)}
+    got = cut(spark, docs, digest=lambda b: len(b) % 3)
+    assert {d: [x for x in t.split("\n") if x] for d, t in got.items()} == brute_lines(docs)
+
+
+def test_fingerprints_are_window_minima(spark):
+    import pyarrow as pa
+
+    text = "\n".join(f"line {i % 7} {i % 3}" for i in range(40))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text])], names=["doc_id", "text_hash", "text"])
+    (out,) = line_dedup.spot_rows()(iter([batch]))
+    h = [xxhash.xxh3_64_intdigest(x.encode()) for x in text.split("\n")]
+    want = {i + min(range(3), key=lambda k: (h[i + k], k)) for i in range(38)}
+    assert out.num_rows == len(want) < 38 and sorted(f % 2**64 for f in out.column("fp").to_pylist()) == sorted(h[i] for i in want)
+    assert sorted(w["first"] for ws in out.column("windows").to_pylist() for w in ws) == list(range(38))
+
+
+def test_split_by_keys(spark):
+    keys = spark.range(0, 3000, 3).selectExpr("id * 7919 AS k")
+    near, rest = split_by_keys(spark.range(0, 3000 * 7919, 7919).toDF("k"), F.col("k"), keys)
+    a, b = {r.k for r in near.collect()}, {r.k for r in rest.collect()}
+    assert a | b == {k * 7919 for k in range(3000)} and not a & b and {r.k for r in keys.collect()} <= a and len(b) > 1500
+    near, rest = split_by_keys(spark.range(5), F.col("id"), keys.limit(0))
+    assert near.count() == 0 and rest.count() == 5
 
 
 def test_line_dedup_equals_sql(spark, sf):
