@@ -46,8 +46,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Bits of a filter of keys at most: 16 MB.
-FILTER_BITS = 1 << 27
+#: Bits of a filter of keys at most: 64 MB.
+FILTER_BITS = 1 << 29
 
 
 def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ earlier place that is.
 * Places with the same fingerprint are joined, split by the hash of each of their windows, so that a line that a third of all documents
   share doesn't meet in one task. A class has one first place, which is joined to the others: no pairs.
 * A match extends as far back and forward as further windows match; what overlaps or touches is one run.
-* The lines of all members of a class are compared before anything goes. Where a hash stands for different lines, its class is split by the
+* Lines of equal hashes are compared before anything goes. Where a hash stands for different lines, the classes with it are split by the
   lines themselves.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, split_by_keys, stage
 
 MIN_LINES, MIN_WORDS = 3, 50
-SPOTS = "doc_id long, text_hash long, fp long, windows array<struct<first:int,n:int,hash:long>>"
+SPOTS = "doc_id long, text_hash long, fp long, windows array<struct<first:int,hashes:array<long>>>"
 
 
 def lines_of(text: bytes) -> list[bytes]:
@@ -56,7 +56,7 @@ def spot_rows(min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, digest=Non
         for batch in batches:
             ids, hashes, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
             out_doc, out_fp, sizes = [], [], []
-            firsts, ns, keys = [], [], []
+            firsts, ns, parts = [], [], []
             for k in range(len(ids)):
                 lines = lines_of(texts[k].as_py() or b"")
                 h = [hashed(x) for x in lines]
@@ -72,11 +72,12 @@ def spot_rows(min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, digest=Non
                     for first, n in windows:
                         firsts.append(first)
                         ns.append(n)
-                        keys.append(hashed(raw[8 * first : 8 * (first + n)]))
+                        parts.append(raw[8 * first : 8 * (first + n)])
             signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-            windows = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), pa.array(ns, pa.int32()), signed(keys)], names=["first", "n", "hash"])
-            offsets = pa.array(np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int32))
-            at = pa.array(out_doc, pa.int64())
+            ends = lambda v: pa.array(np.concatenate([[0], np.cumsum(np.array(v, np.int64))]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends(ns), pa.array(np.frombuffer(b"".join(parts), "<i8")))
+            windows = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), lists], names=["first", "hashes"])
+            offsets, at = ends(sizes), pa.array(out_doc, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), signed(out_fp), pa.ListArray.from_arrays(offsets, windows)], names=["doc_id", "text_hash", "fp", "windows"])
 
     return run
@@ -84,33 +85,47 @@ def spot_rows(min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, digest=Non
 
 #: A place of a window: earlier is by doc_id (null before all others), then by the hash of the text, then by line.
 PLACE = ("doc_id", "text_hash", "first")
-CLASS = ("fp", "hash", "n")
 
 
 def later(src: str):
     """Whether a window stands behind the first place of its class and doesn't overlap it."""
     same = F.col("doc_id").eqNullSafe(F.col(f"{src}.doc_id")) & (F.col("text_hash") == F.col(f"{src}.text_hash"))
-    return ~(same & (F.col("first") < F.col(f"{src}.first") + F.col("n")))
+    return ~(same & (F.col("first") < F.col(f"{src}.first") + F.size("hashes")))
 
 
 def matched_windows(docs: DataFrame, min_lines: int, min_words: int, digest=None) -> DataFrame:
-    """(doc_id, text_hash, windows): for each document with a window that stands more than once, these windows: first, n, fp, hash, and gone (it repeats an
-    earlier one, as far as hashes tell). docs: doc_id, text_hash, text."""
+    """(doc_id, text_hash, windows): for each document with a window that stands more than once, these windows: first, hashes (of its lines), and gone (it repeats
+    an earlier one, as far as hashes tell). docs: doc_id, text_hash, text."""
     spots = stage(arrow_map(docs.select("doc_id", "text_hash", "text"), spot_rows(min_lines, min_words, digest), SPOTS), "lines-spots")
-    shared = spots.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-    windows = spots.join(shared, "fp").select("doc_id", "text_hash", "fp", F.explode("windows").alias("w")).select("doc_id", "text_hash", "fp", "w.*")
-    windows = stage(windows, "lines-windows")
+    shared = stage(spots.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "lines-shared")
+    spots, _ = split_by_keys(spots, F.col("fp"), shared)  # what is left over is told apart by the classes
+    windows = stage(spots.select("doc_id", "text_hash", F.explode("windows").alias("w")).select("doc_id", "text_hash", "w.*"), "lines-windows")
     place = F.struct(*PLACE)
-    first = windows.groupBy(*CLASS).agg(F.min(place).alias("src"), F.max(place).alias("last")).where("src != last").drop("last")
-    found = windows.join(first, list(CLASS)).withColumn("gone", later("src"))
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n", "fp", "hash", "gone")).alias("windows"))
+    # Written, so that the join is between two plain scans and a class that very many places share can be split.
+    first = stage(windows.groupBy("hashes").agg(F.min(place).alias("src"), F.max(place).alias("last")).where("src != last").drop("last"), "lines-first")
+    found = windows.join(first, "hashes").withColumn("gone", later("src"))
+    return found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "hashes", "gone")).alias("windows"))
 
 
-def class_texts(batches: Iterator) -> Iterator:
-    """mapInArrow: (doc_id, text_hash, text, windows) -> (fp, hash, n, doc_id, text_hash, first, lines): the lines of each window."""
+def window_lines(batches: Iterator) -> Iterator:
+    """mapInArrow: (text, windows) -> (hash, line): the lines of windows, once a batch."""
     import pyarrow as pa
 
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    for batch in batches:
+        seen: set[tuple[int, bytes]] = set()
+        texts, windows = batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()
+        for k in range(batch.num_rows):
+            lines = lines_of(texts[k].as_py() or b"")
+            for w in windows[k]:
+                seen.update(zip(w["hashes"], lines[w["first"] : w["first"] + len(w["hashes"])]))
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in seen], pa.int64()), pa.array([x for _, x in seen], pa.binary())], names=["hash", "line"])
+
+
+def window_texts(batches: Iterator) -> Iterator:
+    """mapInArrow: (doc_id, text_hash, text, windows) -> (doc_id, text_hash, first, hashes, lines) for each window."""
+    import pyarrow as pa
+
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
     for batch in batches:
         out: list[list] = [[] for _ in types]
         texts = batch.column(2).cast(pa.binary())
@@ -118,9 +133,9 @@ def class_texts(batches: Iterator) -> Iterator:
             doc_id, text_hash, windows = (batch.column(i)[k].as_py() for i in (0, 1, 3))
             lines = lines_of(texts[k].as_py() or b"")
             for w in windows:
-                for column, v in zip(out, (w["fp"], w["hash"], w["n"], doc_id, text_hash, w["first"], b"\n".join(lines[w["first"] : w["first"] + w["n"]]))):
+                for column, v in zip(out, (doc_id, text_hash, w["first"], w["hashes"], b"\n".join(lines[w["first"] : w["first"] + len(w["hashes"])]))):
                     column.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=[*CLASS, *PLACE, "lines"])
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=[*PLACE, "hashes", "lines"])
 
 
 def delete_runs(text_name: str):
@@ -143,7 +158,7 @@ def delete_runs(text_name: str):
                 gone = set()
                 for w in windows[k].as_py() or ():
                     if w["gone"]:
-                        gone.update(range(w["first"], w["first"] + w["n"]))
+                        gone.update(range(w["first"], w["first"] + len(w["hashes"])))
                 n_deleted.append(len(gone))
                 if gone:
                     drop, n = set(), 0
@@ -165,22 +180,25 @@ def delete_runs(text_name: str):
     return run
 
 
-WINDOWS = "array<struct<first:int,n:int,fp:long,hash:long,gone:boolean>>"
+WINDOWS = "array<struct<first:int,hashes:array<long>,gone:boolean>>"
 
 
 def verified(touched: DataFrame) -> DataFrame:
-    """touched (doc_id, text_hash, text, _windows and other columns) with the windows' `gone` as the lines themselves say. The lines of a class are compared by
-    their least and greatest, each task sends two rows a class at most; only classes that turn out mixed are looked at again, by lines."""
-    texts = arrow_map(touched.select(F.col("_run_doc").alias("doc_id"), F.col("_run_hash").alias("text_hash"), F.col("text").cast("string").alias("text"), F.col("_windows").alias("windows")), class_texts, "fp long, hash long, n int, doc_id long, text_hash long, first int, lines binary")
-    mixed = stage(texts.groupBy(*CLASS).agg(F.min("lines").alias("a"), F.max("lines").alias("b")).where("a != b").select(*CLASS), "lines-mixed")
+    """touched (_run_doc, _run_hash, text, _windows and other columns) with the windows' `gone` as the lines themselves say. The lines of each hash are compared
+    by their least and greatest; only classes with a hash of several lines are looked at again, by lines."""
+    text = F.col("text").cast("string").alias("text")
+    lines = arrow_map(touched.select(text, F.col("_windows").alias("windows")), window_lines, "hash long, line binary")
+    mixed = stage(lines.groupBy("hash").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a != b").select("hash"), "lines-mixed")
     if mixed.isEmpty():
         return touched
-    again = stage(texts.join(mixed, list(CLASS), "left_semi"), "lines-again")
-    first = again.groupBy(*CLASS, "lines").agg(F.min(F.struct(*PLACE)).alias("src"))
-    again = again.join(first, [*CLASS, "lines"]).withColumn("gone", later("src"))
-    again = again.groupBy(F.col("doc_id").alias("v_doc"), F.col("text_hash").alias("v_hash")).agg(F.collect_set(F.struct("first", "n", "fp", "hash", "gone")).alias("v_windows"))
+    texts = arrow_map(touched.select(F.col("_run_doc").alias("doc_id"), F.col("_run_hash").alias("text_hash"), text, F.col("_windows").alias("windows")), window_texts, "doc_id long, text_hash long, first int, hashes array<long>, lines binary")
+    classes = texts.select("hashes", F.explode("hashes").alias("hash")).distinct().join(mixed, "hash").select("hashes").distinct()
+    again = stage(texts.join(classes, "hashes", "left_semi"), "lines-again")
+    first = stage(again.groupBy("hashes", "lines").agg(F.min(F.struct(*PLACE)).alias("src")), "lines-again-first")
+    again = again.join(first, ["hashes", "lines"]).withColumn("gone", later("src"))
+    again = again.groupBy(F.col("doc_id").alias("v_doc"), F.col("text_hash").alias("v_hash")).agg(F.collect_set(F.struct("first", "hashes", "gone")).alias("v_windows"))
     joined = touched.join(again, F.col("_run_doc").eqNullSafe(F.col("v_doc")) & (F.col("_run_hash") == F.col("v_hash")), "left")
-    other = lambda w: ~F.exists("v_windows", lambda v: (v["first"] == w["first"]) & (v["n"] == w["n"]))
+    other = lambda w: ~F.exists("v_windows", lambda v: (v["first"] == w["first"]) & (v["hashes"] == w["hashes"]))
     now = F.when(F.col("v_windows").isNull(), F.col("_windows")).otherwise(F.concat(F.filter("_windows", other), F.col("v_windows")))
     return joined.withColumn("_windows", now).drop("v_doc", "v_hash", "v_windows")
 
