@@ -3,10 +3,11 @@
 Tokens are lower-case words; each stands for itself and for its beginnings of 4 to 8 letters. Their scores are log-odds of toxic
 against other labelled texts with an informative Dirichlet prior, whose shape is the counts of the whole corpus; only what is
 significant scores, at its lower confidence bound, and every other token costs a small penalty, so random text has negative
-drift. A linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a text. Scores of segments in random text follow an
-extreme-value law with P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda comes from the corpus-wide score distribution, K
-from texts labelled clean. A document's evidence, the surprise of its best segment and of all its significant segments
-together, is calibrated to a probability on the labelled sample.
+drift. A linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a text. The best segment of a clean text of n words follows an
+extreme-value law, P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda and K are fitted to the upper tail of the clean texts of the labelled
+sample by censored maximum likelihood. By this law a segment is significant if fewer than ALPHA such segments are to be expected in a clean text of this
+length, and all segments of a text together have one p-value (the law of the sum of the r best ones). Its surprise alone is what a
+document's probability is calibrated from.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, crc32_mod, doc_text, stage
@@ -24,7 +25,9 @@ from .common import arrow_map, crc32_mod, doc_text, stage
 #: Bounds of the labelled sample: about so many documents of either label.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 12000
 #: A feature must stand in so many toxic documents of the sample; prior strength in tokens; standard errors off the log-odds; least score.
-MIN_DOCS, PRIOR, ERRORS, LEAST = 4, 20_000.0, 2.0, 1.0
+MIN_DOCS, PRIOR, ERRORS, LEAST = 4, 20_000.0, 3.0, 1.0
+#: Expected number of segments, in a clean text, from which on one is significant; share of the clean texts below the fitted tail; least texts in it.
+ALPHA, BODY, LEAST_TAIL = 0.05, 0.9, 5
 PREFIXES = range(4, 9)
 #: Words whose score a task remembers at most; bounds memory, not what is scored.
 KEPT_WORDS = 400_000
@@ -175,7 +178,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
 def learn(docs: DataFrame, sample: DataFrame) -> dict:
     """The token scores, penalty and lambda. docs: doc_id, text. sample: doc_id, toxic (bounded)."""
     labelled = docs.join(F.broadcast(sample), "doc_id", "left")
-    toxic = arrow_map(labelled.where("toxic = 1").select("text"), toxic_features, "feature string, docs long, n long")
+    toxic = stage(arrow_map(labelled.where("toxic = 1").select("text"), toxic_features, "feature string, docs long, n long"), "toxic-features")
     # The sample bounds the number of candidates.
     rows = toxic.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).where(F.col("docs") >= MIN_DOCS).collect()
     rows.sort(key=lambda r: r["feature"])
@@ -204,19 +207,48 @@ def learn(docs: DataFrame, sample: DataFrame) -> dict:
             shares.append(r["n"] / total)
             values.append(s)
     shares, values = np.array(shares), np.array(values)
+    # The root of E[exp(lambda * score)] = 1 over the tokens of the corpus is what lambda is without a tail to fit it to.
     hit = float(sum(y_t[i] for f, i in candidates.items() if f in weights and not f.endswith("*"))) / n_t
     penalty = max(0.02, -math.log(max(1e-6, 1 - min(0.5, hit))), 2 * float((shares * values).sum()))
     return {"weights": weights, "penalty": penalty, "lambda": solve_lambda(shares, values, penalty) if len(shares) else 1.0}
 
 
-def evidence(lam: float, k: float):
-    """Columns of a document's evidence from words, best and passages: the best segment's surprise, that of all significant ones, the score of
-    all, and whether there is any, alone and with the length. Without a scoring token all are 0, whatever the length."""
-    some = (F.col("best") > 0).cast("double")
-    size = F.log(F.lit(k) * F.greatest(F.col("words"), F.lit(1)))
-    over = lambda s: F.greatest(F.lit(lam) * s - size, F.lit(0.0))
-    squash = lambda x: F.log1p(x)
-    return [squash(over(F.col("best"))).alias("x0"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + over(p["score"]))).alias("x1"), squash(F.aggregate("passages", F.lit(0.0), lambda s, p: s + F.lit(lam) * p["score"])).alias("x2"), (some * F.log1p("words")).alias("x3"), some.alias("x4")]
+def fit_tail(best: np.ndarray, words: np.ndarray, fallback: float) -> tuple[float, float]:
+    """lambda and K of the law of the best segments of clean texts, by maximum likelihood over what is above their BODY quantile; of the others only that they
+    are below counts. With fewer than LEAST_TAIL texts above, lambda is `fallback`."""
+    if not len(best):
+        return fallback, 1.0
+    n, start = np.maximum(words, 1.0), max(0.0, float(np.quantile(best, BODY)))
+    held, over = np.maximum(best, start), best > start
+    tail = int(over.sum())
+
+    def weights(lam: float) -> np.ndarray:
+        return n * np.exp(-lam * (held - start))
+
+    lam = fallback
+    if tail >= LEAST_TAIL:
+        lo, hi = 1e-3, 64.0
+        for _ in range(100):
+            lam = (lo + hi) / 2
+            e = weights(lam)
+            rises = tail / lam - best[over].sum() + tail * (e * held).sum() / e.sum() > 0
+            lo, hi = (lam, hi) if rises else (lo, lam)
+    return lam, max(tail, 0.5) / float(weights(lam).sum()) * math.exp(min(700.0, lam * start))
+
+
+def surprise(lam: float, k: float, scores: Column, words: Column) -> Column:
+    """-ln of the p-value of a text's segments together: of the sum T of the r best normalised scores, p = exp(-T) T^(r-1) / (r! (r-1)!), the least over r. Segments
+    that even a clean text is to be expected to have add nothing; without any it is 0."""
+    size = F.log(F.lit(k) * F.greatest(words, F.lit(1)))
+    x = F.reverse(F.array_sort(F.filter(F.transform(scores, lambda s: F.lit(lam) * s - size), lambda v: v > 0)))
+    zero = F.struct(F.lit(0.0).alias("r"), F.lit(0.0).alias("t"), F.lit(0.0).alias("f"), F.lit(0.0).alias("top"))
+
+    def step(state: Column, v: Column) -> Column:
+        r, t = state["r"] + 1, state["t"] + v
+        f = state["f"] + F.log(r)  # ln r!
+        return F.struct(r.alias("r"), t.alias("t"), f.alias("f"), F.greatest(state["top"], t + 2 * f - F.log(r) - (r - 1) * F.log(F.greatest(t, F.lit(1.0)))).alias("top"))
+
+    return F.aggregate(x, zero, step, lambda state: state["top"])
 
 
 def labelled_sample(labels: DataFrame, folds: int, held: int, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> DataFrame:
@@ -231,30 +263,32 @@ def labelled_sample(labels: DataFrame, folds: int, held: int, toxic: int = SAMPL
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
-    """One row per row of docs: doc_id, held_out (crc32(doc_id) mod folds is `held`), score, predicted, n_passages, passages (maximal
+    """One row per row of docs: doc_id, held_out (crc32(doc_id) mod folds is `held`), score, predicted, n_passages, passages (the significant
     segments: score, first and last word).
 
-    Null and empty texts score as texts without words. Without labels of both kinds there is nothing to learn, and all score 0.
-    Repeated rows score alike; extra columns don't matter."""
+    Null and empty texts score as texts without words. Very long texts are scanned whole. Without labels of both kinds there is nothing to learn, and all
+    score 0. Repeated rows score alike, and a labelled doc_id that stands in several rows is one example; rows without doc_id are none. Extra columns don't matter,
+    whatever their names. Empty table: no rows."""
     texts = doc_text(docs)
     sample = stage(labelled_sample(labels, folds, held), "toxic-sample")
     model = learn(texts, sample)
     found = stage(arrow_map(texts, scan_rows(model["weights"], model["penalty"]), "doc_id long, words long, best double, passages array<struct<score:double,first:int,last:int>>"), "toxic-found")
-    lam = model["lambda"]
-    known = found.join(F.broadcast(sample), "doc_id")
-    # K from the upper tail of the clean texts: there, the share of texts over t is about K exp(-t).
-    tails = known.where("toxic = 0").select((F.lit(lam) * F.col("best") - F.log(F.greatest("words", F.lit(1)))).alias("t"))
-    tail, n = tails.agg(F.percentile_approx("t", 0.97, 10000), F.count("*")).first()
-    k = min(10.0, max(1e-3, 0.03 * math.exp(min(20.0, tail)))) if n else 1.0
-    rows = known.select("toxic", *evidence(lam, k)).collect()
-    y = np.array([r["toxic"] for r in rows], float)
+    # One row for each document of the bounded sample.
+    known = found.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("words", "best", F.transform("passages", lambda p: p["score"]).alias("scores"))).alias("x"))
+    known = stage(known.select("toxic", "x.*"), "toxic-known")
+    clean = known.where("toxic = 0").select("best", "words").toArrow()
+    lam, k = fit_tail(*[clean.column(c).to_numpy().astype(float) for c in ("best", "words")], model["lambda"])
+    rows = known.select("toxic", surprise(lam, k, F.col("scores"), F.col("words")).alias("x")).toArrow()
+    y, x = (rows.column(c).to_numpy().astype(float) for c in ("toxic", "x"))
+    out = found.withColumn("x", surprise(lam, k, F.transform("passages", lambda p: p["score"]), F.col("words")))
     if len(y) and 0 < y.sum() < len(y):
-        w = logistic(np.array([[r[f"x{i}"] for i in range(5)] for r in rows]), y)
-        logit = sum((F.col(f"x{i}") * F.lit(float(w[i])) for i in range(5)), F.lit(float(w[5])))
-        score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit))))
+        w = logistic(np.log1p(x)[:, None], y)
+        score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.log1p("x") * F.lit(float(w[0])) + F.lit(float(w[1]))))))
     else:
         score = F.lit(0.0)
-    out = found.select("*", *evidence(lam, k)).withColumn("score", score)
+    least = F.log(F.lit(k / ALPHA) * F.greatest(F.col("words"), F.lit(1)))
+    passages = F.filter("passages", lambda p: F.lit(lam) * p["score"] >= least)
+    out = out.withColumn("score", score).withColumn("passages", passages)
     return out.select(
         "doc_id", F.coalesce(crc32_mod(F.col("doc_id"), folds) == F.lit(held), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= F.lit(THRESHOLD)).cast("int").alias("predicted"), F.size("passages").alias("n_passages"), "passages",

@@ -4,7 +4,8 @@ import hashlib
 import itertools
 import random
 import zlib
-from math import log
+from collections import Counter
+from math import lgamma, log
 
 import duckdb
 import numpy as np
@@ -243,3 +244,84 @@ def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([(1, None), (2, 0), (2, 0), (None, 1)], "doc_id long, toxic int")
     assert {(r.doc_id, r.score, r.predicted) for r in toxicity.score_documents(docs, labels).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
     assert toxicity.score_documents(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_fit_of_the_tail_finds_the_law():
+    rng = np.random.default_rng(3)
+    words = rng.integers(20, 2000, 20_000).astype(float)
+    best = -np.log(-np.log(rng.random(20_000)) / (0.02 * words)) / 0.7  # P(S < s) = exp(-K n exp(-lambda s))
+    lam, k = toxicity.fit_tail(np.maximum(best, 0), words, 9.0)
+    assert lam == pytest.approx(0.7, rel=0.05) and k == pytest.approx(0.02, rel=0.35)
+    assert toxicity.fit_tail(np.zeros(50), np.full(50, 30.0), 2.0)[0] == 2.0 and toxicity.fit_tail(np.zeros(0), np.zeros(0), 2.0) == (2.0, 1.0)
+
+
+def test_the_law_holds_for_clean_held_out_texts(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.learn(docs, toxicity.labelled_sample(labels, 4, 2))
+    out = toxicity.arrow_map(docs.join(labels.where("toxic = 0"), "doc_id").select("doc_id", "text"), toxicity.scan_rows(model["weights"], model["penalty"]), "doc_id long, words long, best double, passages array<struct<score:double,first:int,last:int>>").toPandas()
+    held = np.array([zlib.crc32(str(i).encode()) % 4 == 2 for i in out.doc_id])
+    words, best = np.maximum(out.words.to_numpy(float), 1), out.best.to_numpy()
+    lam, k = toxicity.fit_tail(best[~held], words[~held], 1.0)
+    for share in (0.1, 0.03, 0.01):
+        s = float(np.quantile(best[~held], 1 - share))
+        seen, told = float((best[held] > s).mean()), float((1 - np.exp(-k * words[held] * np.exp(-lam * s))).mean())
+        assert seen / 3 <= told <= 3 * seen + 0.005
+
+
+def brute_toxicity(docs, labels):
+    """Scores of a small corpus, step by step from the definitions, with plain counters."""
+    feats = lambda w: [w, *(w[:n] + "*" for n in range(4, 9) if len(w) > n)]
+    tokens = {d: toxicity.WORD.findall((t or "").lower()) for d, t in docs}
+    known = {d: t for d, t in labels.items() if zlib.crc32(str(d).encode()) % 4 != 2}
+    count = lambda ids: Counter(f for d in ids for w in tokens[d] for f in feats(w))
+    toxic, clean = [d for d in known if known[d]], [d for d in known if not known[d]]
+    y_t, y_c, every = count(toxic), count(clean), count(tokens)
+    stands = Counter(f for d in toxic for f in {f for w in tokens[d] for f in feats(w)})
+    n_t, n_c, total = (float(sum(len(tokens[d]) for d in ids)) for ids in (toxic, clean, tokens))
+    weights = {}
+    for f, n in stands.items():
+        if n >= toxicity.MIN_DOCS:
+            a = toxicity.PRIOR * every[f] / total
+            odds = lambda y, n, a=a: np.log((y + a) / (n + toxicity.PRIOR - y - a))
+            z = odds(y_t[f], n_t) - odds(y_c[f], n_c) - toxicity.ERRORS * np.sqrt(1 / (y_t[f] + a) + 1 / (y_c[f] + a))
+            if z >= toxicity.LEAST:
+                weights[f] = z
+    value = lambda w: max([weights[f] for f in feats(w) if f in weights], default=0.0)
+    hit = sum(y_t[f] for f in weights if not f.endswith("*")) / n_t
+    penalty = max(0.02, -log(1 - min(0.5, hit)), 2 * sum(value(w) for d in tokens for w in tokens[d]) / total)
+    found = {d: [sum(v[i:j]) for v in [[value(w) or -penalty for w in ws]] for i, j in brute_segments(v)] for d, ws in tokens.items()}
+    best, words = {d: max(s, default=0.0) for d, s in found.items()}, {d: max(1, len(ws)) for d, ws in tokens.items()}
+    lam, k = toxicity.fit_tail(np.array([best[d] for d in clean]), np.array([float(words[d]) for d in clean]), 1.0)
+
+    def surprise(d):
+        x = sorted([v for v in (lam * s - log(k * words[d]) for s in found[d]) if v > 0], reverse=True)
+        p = lambda r: -(sum(x[:r])) + (r - 1) * log(max(1.0, sum(x[:r]))) - lgamma(r + 1) - lgamma(r)
+        return max([-p(r) for r in range(1, len(x) + 1)], default=0.0)
+
+    w = toxicity.logistic(np.array([[np.log1p(surprise(d))] for d in known]), np.array([float(t) for t in known.values()]))
+    significant = {d: sum(k * words[d] * np.exp(-lam * s) <= toxicity.ALPHA for s in found[d]) for d in tokens}
+    return {d: (1 / (1 + np.exp(-(w[0] * np.log1p(surprise(d)) + w[1]))), significant[d]) for d in tokens}
+
+
+def test_toxicity_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PRIOR", 20.0)  # the corpus is small
+    rng = random.Random(8)
+    plain, bad = [f"word{i}x" for i in range(60)], ["idiotic", "idiots", "scum", "moronic"]
+    texts, labels = [], {}
+    for d in range(160):
+        labels[d] = int(d % 4 == 0)
+        odds = (0.25 if labels[d] else 0.004) if d % 9 else 0.03
+        texts.append((d, " ".join(rng.choice(bad) if rng.random() < odds else rng.choice(plain) for _ in range(rng.randint(1, 30)))))
+    texts += [(200, None), (201, ""), (202, "scum " * 40)]
+    want = brute_toxicity(texts, labels)
+    got = toxicity.score_documents(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")).collect()
+    assert len(got) == len(want) and any(r.n_passages for r in got)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id][0], abs=1e-6) and r.n_passages == want[r.doc_id][1]
+
+
+def test_toxicity_repeated_ids_are_one_example(spark):
+    docs = spark.createDataFrame([(1, "scum here"), (1, "scum there"), (1, "scum here"), (2, "all is well"), (3, "well said")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    assert len(toxicity.score_documents(docs, labels).collect()) == 5
