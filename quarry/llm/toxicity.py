@@ -6,7 +6,7 @@ significant scores, at its lower confidence bound, and every other token costs a
 drift. A linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a text. The best segment of a clean text of n words follows an
 extreme-value law, P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda and K are fitted to the upper tail of the clean texts of the labelled
 sample by censored maximum likelihood. By this law a segment is significant if fewer than ALPHA such segments are to be expected in a clean text of this
-length, and all segments of a text together have one p-value (the law of the sum of the r best ones). Its surprise alone is what a
+length, and the significant ones of a text have one p-value together (the law of the sum of the r best ones). Its surprise alone is what a
 document's probability is calibrated from.
 """
 
@@ -25,9 +25,9 @@ from .common import arrow_map, crc32_mod, doc_text, stage
 #: Bounds of the labelled sample: about so many documents of either label.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 12000
 #: A feature must stand in so many toxic documents of the sample; prior strength in tokens; standard errors off the log-odds; least score.
-MIN_DOCS, PRIOR, ERRORS, LEAST = 4, 20_000.0, 3.0, 1.0
+MIN_DOCS, PRIOR, ERRORS, LEAST = 4, 20_000.0, 2.0, 1.0
 #: Expected number of segments, in a clean text, from which on one is significant; share of the clean texts below the fitted tail; least texts in it.
-ALPHA, BODY, LEAST_TAIL = 0.05, 0.9, 5
+ALPHA, BODY, LEAST_TAIL = 0.05, 0.95, 5
 PREFIXES = range(4, 9)
 #: Words whose score a task remembers at most; bounds memory, not what is scored.
 KEPT_WORDS = 400_000
@@ -161,7 +161,7 @@ def solve_lambda(shares: np.ndarray, scores: np.ndarray, penalty: float) -> floa
     return hi
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-5) -> np.ndarray:
     """Newton's method; the last coefficient is the intercept."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
@@ -237,10 +237,10 @@ def fit_tail(best: np.ndarray, words: np.ndarray, fallback: float) -> tuple[floa
 
 
 def surprise(lam: float, k: float, scores: Column, words: Column) -> Column:
-    """-ln of the p-value of a text's segments together: of the sum T of the r best normalised scores, p = exp(-T) T^(r-1) / (r! (r-1)!), the least over r. Segments
-    that even a clean text is to be expected to have add nothing; without any it is 0."""
+    """-ln of the p-value of a text's significant segments together: of the sum T of the r best normalised scores, p = exp(-T) T^(r-1) / (r! (r-1)!), the least
+    over r. Without any it is 0."""
     size = F.log(F.lit(k) * F.greatest(words, F.lit(1)))
-    x = F.reverse(F.array_sort(F.filter(F.transform(scores, lambda s: F.lit(lam) * s - size), lambda v: v > 0)))
+    x = F.reverse(F.array_sort(F.filter(F.transform(scores, lambda s: F.lit(lam) * s - size), lambda v: v >= F.lit(-math.log(ALPHA)))))
     zero = F.struct(F.lit(0.0).alias("r"), F.lit(0.0).alias("t"), F.lit(0.0).alias("f"), F.lit(0.0).alias("top"))
 
     def step(state: Column, v: Column) -> Column:
@@ -282,8 +282,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     y, x = (rows.column(c).to_numpy().astype(float) for c in ("toxic", "x"))
     out = found.withColumn("x", surprise(lam, k, F.transform("passages", lambda p: p["score"]), F.col("words")))
     if len(y) and 0 < y.sum() < len(y):
-        w = logistic(np.log1p(x)[:, None], y)
-        score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.log1p("x") * F.lit(float(w[0])) + F.lit(float(w[1]))))))
+        w = logistic(np.sqrt(x)[:, None], y)
+        score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.sqrt("x") * F.lit(float(w[0])) + F.lit(float(w[1]))))))
     else:
         score = F.lit(0.0)
     least = F.log(F.lit(k / ALPHA) * F.greatest(F.col("words"), F.lit(1)))

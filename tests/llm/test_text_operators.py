@@ -295,13 +295,13 @@ def brute_toxicity(docs, labels):
     lam, k = toxicity.fit_tail(np.array([best[d] for d in clean]), np.array([float(words[d]) for d in clean]), 1.0)
 
     def surprise(d):
-        x = sorted([v for v in (lam * s - log(k * words[d]) for s in found[d]) if v > 0], reverse=True)
+        x = sorted([v for v in (lam * s - log(k * words[d]) for s in found[d]) if v >= -log(toxicity.ALPHA)], reverse=True)
         p = lambda r: -(sum(x[:r])) + (r - 1) * log(max(1.0, sum(x[:r]))) - lgamma(r + 1) - lgamma(r)
         return max([-p(r) for r in range(1, len(x) + 1)], default=0.0)
 
-    w = toxicity.logistic(np.array([[np.log1p(surprise(d))] for d in known]), np.array([float(t) for t in known.values()]))
+    w = toxicity.logistic(np.array([[np.sqrt(surprise(d))] for d in known]), np.array([float(t) for t in known.values()]))
     significant = {d: sum(k * words[d] * np.exp(-lam * s) <= toxicity.ALPHA for s in found[d]) for d in tokens}
-    return {d: (1 / (1 + np.exp(-(w[0] * np.log1p(surprise(d)) + w[1]))), significant[d]) for d in tokens}
+    return {d: (1 / (1 + np.exp(-(w[0] * np.sqrt(surprise(d)) + w[1]))), significant[d]) for d in tokens}
 
 
 def test_toxicity_equals_brute_force(spark, monkeypatch):
