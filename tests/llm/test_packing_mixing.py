@@ -102,3 +102,38 @@ def test_mix_reruns_agree(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     one = sorted(map(tuple, mixing.mix(docs).collect()))
     assert one == sorted(map(tuple, mixing.mix(docs.repartition(13, "text"), ranges=16).collect()))
+
+
+def test_mix_of_many_sources(spark):
+    """Nothing is in one task: sources are ranked in ranges, and the end of the budget is cut until few rows are left."""
+    rng = random.Random(7)
+    rows = [(i, None if i % 50 == 7 else f"site{i % 20_000:05d}.org" if i % 3 else "hot", "w " * rng.randint(0, 4)) for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(8)
+    check_mix(spark, docs)
+    want = Counter({r.doc_id: r.copies for r in mixing.mix(docs, edge=10).collect() if r.copies})
+    assert want == Counter({r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies})
+    assert Counter(r.doc_id for r in mixing.mixed_documents(docs).collect()) == want
+
+
+def test_mix_of_rows_without_ids(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(None, rng.choice("abc"), "w " * rng.randint(0, 30) + rng.choice("xyz")) for _ in range(3000)], "doc_id long, source string, text string")
+    check_mix(spark, docs)
+    spread = mixing.finish_times(docs.select(F.lit(None).cast("long").alias("doc_id"), "source", F.concat("text", F.rand(1).cast("string")).alias("text"))).select("u").distinct().count()
+    assert spread == 3000
+    taken = sum(r.taken for r in mixing.mix(docs).collect())
+    assert sum(len(r.text.split()) for r in mixing.mixed_documents(docs).collect()) == taken
+
+
+def test_mix_in_order_item_by_item(spark):
+    """Weighted fair queueing step by step: the item that finishes first is next, while it fits."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {(r.doc_id): r for r in mixing.finish_times(docs).collect()}
+    items = sorted(((r.done + n * r.source_size) / r.weight, r.u, d, n) for d, r in rows.items() for n in range(2) if r["size"])
+    left, want = next(iter(rows.values())).budget, Counter()
+    for _, _, d, _ in items:
+        left -= rows[d]["size"]
+        if left < 0:
+            break
+        want[d] += 1
+    assert want == Counter({r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies})
