@@ -7,16 +7,19 @@ lengths bounds every single product; what may still reach the k-th best is compu
 the bounds leave many pairs of a step, as one product of matrices. The k best of the very longest vectors give every query a
 bound to start with.
 
-Queries meet candidates in blocks, and a pair of blocks returns k rows a query at most, none below the query's first bound.
+The slabs are walked in waves, from the longest vectors on, each wave twice as large as the one before. A query meets a slab only if the length of
+both can reach its k-th best score after all waves so far; queries are put in blocks by the length of vectors that they still need, so a slab is sent to
+the first blocks alone, and a wave that no query needs ends the search. A pair of a block and a slab returns k rows a query at most, none
+below the query's bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, inf
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stage
@@ -24,6 +27,8 @@ from .common import arrow_map, stage
 K, QUERY_MOD, SCALE = 20, 20, 64
 #: Candidates of a slab, queries of a block, vectors that are looked at together, longest vectors that give the first bounds.
 SLAB, BLOCK, STEP, SEEDS = 16384, 4096, 1024, 1024
+#: Slabs of a wave at most.
+WAVE = 1024
 #: Share of a step's pairs that pass the bound from which the whole step is computed.
 DENSE = 0.02
 #: Inner products below this are exact in doubles.
@@ -136,7 +141,7 @@ def by_dimension(values) -> dict[int, np.ndarray]:
 
 
 def start_rows(seeds: list[tuple[int, bytes]], k: int):
-    """mapInArrow: (vec_id, v) -> (vec_id, v, start): the k-th best score among the longest vectors."""
+    """mapInArrow: (vec_id, v, norm) -> (vec_id, v, norm, start): the k-th best score among the longest vectors."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -152,7 +157,7 @@ def start_rows(seeds: list[tuple[int, bytes]], k: int):
                     for lo in range(0, len(at), BLOCK):
                         part = at[lo : lo + BLOCK]
                         start[part] = search(ids[part], unpack([vs[i] for i in part]), np.full(len(part), -np.inf), seed_ids[groups[d]], x, k).least
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(start)], names=["vec_id", "v", "start"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(start)], names=["vec_id", "v", "norm", "start"])
 
     return run
 
@@ -180,30 +185,62 @@ def meet(k: int):
     return run
 
 
+def needed() -> Column:
+    """The length of a vector from which it can reach the query's bound; what rounding may hide is taken off."""
+    reach = (F.col("start") - 1e-6) / F.col("norm") / (1 + 1e-9)
+    return F.when((F.col("norm") == 0) | (F.col("start") == -inf), F.lit(-inf)).otherwise(reach)
+
+
+def wave_rows(ready: DataFrame, slabs: DataFrame, wave: list[tuple[int, float]], k: int, block: int) -> DataFrame | None:
+    """query_id, q_key, vec_id, score: what the queries find in the slabs of a wave (number, greatest length; longest first). None if no query needs any."""
+    live = ready.withColumn("needed", needed()).where(F.col("needed") <= F.lit(wave[0][1]))
+    n = live.count()
+    if not n:
+        return None
+    live = live.repartitionByRange(ceil(n / block), F.col("needed"), F.col("q_key")).withColumn("block", F.spark_partition_id())
+    live = stage(live, "topk-live")
+    least = sorted(tuple(r) for r in live.groupBy("block").agg(F.min("needed")).collect())  # a row a block
+    tops = F.array(*[F.lit(top) for _, top in wave])
+    number = F.element_at(F.array(*[F.lit(int(s)) for s, _ in wave]), F.col("nth"))
+    left = live.withColumn("nth", F.explode(F.sequence(F.lit(1), F.size(F.filter(tops, lambda t: t >= F.col("needed")))))).withColumn("slab", number)
+    blocks = {s: [b for b, x in least if x <= top] for s, top in wave}
+    last = F.create_map(*[F.lit(x) for s, bs in blocks.items() if bs for x in (int(s), max(bs))])
+    right = slabs.where(F.col("slab").isin([int(s) for s, bs in blocks.items() if bs])).withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(last, F.col("slab")))))
+    left = left.select("vec_id", "v", "start", "q_key", "slab", "block")
+    return left.groupBy("slab", "block").cogroup(right.groupBy("slab", "block")).applyInArrow(meet(k), "query_id long, q_key long, vec_id long, score long")
+
+
 def top_k(embeddings: DataFrame, k: int = K, query_mod: int = QUERY_MOD, scale: int = SCALE, slab: int = SLAB, block: int = BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for each row whose vec_id is divisible by query_mod, against all other rows.
 
     embeddings: vec_id, embedding (array of numbers). Vectors that are null or empty or hold null or non-finite components, and rows without
     vec_id, take no part. Ties go to smaller ids. A query never meets its own id. Repeated rows are candidates as often as they stand;
     equal query rows are one query, rows with the same id and other vectors are queries of their own. Vectors of other
-    dimensions don't meet. Empty table: no rows."""
-    spark = embeddings.sparkSession
+    dimensions don't meet. Other columns don't matter, whatever their names. Empty table: no rows."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     vectors = stage(arrow_map(rows, scaled_rows(scale), "vec_id long, v binary, norm double"), "topk-vectors")
-    queries = vectors.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v").distinct()
-    n, n_queries = vectors.count(), vectors.where(F.pmod("vec_id", F.lit(query_mod)) == 0).count()
-    slabs, blocks = max(1, ceil(n / slab)), max(1, ceil(n_queries / block))
-    sorted_ = vectors.repartitionByRange(slabs, F.col("norm").desc(), F.col("vec_id")).withColumn("slab", F.spark_partition_id())
+    queries = vectors.where(F.pmod("vec_id", F.lit(query_mod)) == 0).select("vec_id", "v", "norm").distinct()
+    sorted_ = vectors.repartitionByRange(max(1, ceil(vectors.count() / slab)), F.col("norm").desc(), F.col("vec_id")).withColumn("slab", F.spark_partition_id())
     sorted_ = stage(sorted_, "topk-slabs")
     seeds = [(r["vec_id"], bytes(r["v"])) for r in vectors.orderBy(F.col("norm").desc(), "vec_id").select("vec_id", "v").limit(SEEDS).collect()]
-    ready = arrow_map(queries, start_rows(seeds, k), "vec_id long, v binary, start double")
-    ready = stage(ready.withColumn("q_key", F.xxhash64("vec_id", "v")).withColumn("block", F.pmod(F.col("q_key"), F.lit(blocks)).cast("int")), "topk-queries")
-    numbers = [r["slab"] for r in sorted_.select("slab").distinct().collect()]
-    left = ready.withColumn("slab", F.explode(F.array(*[F.lit(int(s)) for s in numbers]) if numbers else F.array().cast("array<int>")))
-    right = sorted_.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = left.groupBy("slab", "block").cogroup(right.groupBy("slab", "block")).applyInArrow(meet(k), "query_id long, q_key long, vec_id long, score long")
+    ready = arrow_map(queries, start_rows(seeds, k), "vec_id long, v binary, norm double, start double")
+    ready = stage(ready.withColumn("q_key", F.xxhash64("vec_id", "v")), "topk-queries")
+    left = sorted((tuple(r) for r in sorted_.groupBy("slab").agg(F.max("norm")).collect()), key=lambda r: (-r[1], r[0]))  # a row a slab
     rank = F.row_number().over(Window.partitionBy("query_id", "q_key").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = embeddings.sparkSession.createDataFrame([], "query_id long, q_key long, vec_id long, score long, rank int")
+    size = 1
+    while left:
+        found = wave_rows(ready, sorted_, left[:size], k, block)
+        if found is None:
+            break
+        left, size = left[size:], min(WAVE, 2 * size)
+        best = best.drop("rank").unionByName(found).withColumn("rank", rank).where(F.col("rank") <= k)
+        if left:
+            best = stage(best, "topk-best")
+            bound = best.where(F.col("rank") == k).select(F.col("query_id").alias("b_id"), F.col("q_key").alias("b_key"), F.col("score").cast("double").alias("bound"))
+            ready = ready.join(bound, (F.col("vec_id") == F.col("b_id")) & (F.col("q_key") == F.col("b_key")), "left")
+            ready = stage(ready.withColumn("start", F.greatest("start", F.coalesce("bound", F.lit(-inf)))).drop("b_id", "b_key", "bound"), "topk-queries")
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 def oracle() -> str:

@@ -38,6 +38,24 @@ def test_topk_edges(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_short_slabs_are_never_met(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # A few long vectors in all directions; thousands of short ones, which no query needs but those that are few in their slab.
+    rows = [(i, (rng.normal(size=6) * (40 if i < 400 else 0.3)).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    met, wave_rows = [], topk.wave_rows
+
+    def spied(ready, slabs, wave, k, block):
+        found = wave_rows(ready, slabs, wave, k, block)
+        met.append((len(wave), found is not None))
+        return found
+
+    monkeypatch.setattr(topk, "wave_rows", spied)
+    monkeypatch.setattr(topk, "SEEDS", 30)
+    assert sorted(map(tuple, topk.top_k(df, slab=100, block=30).collect())) == brute_topk(rows)
+    assert met[0] == (1, True) and not met[-1][1] and sum(n for n, on in met if on) < 10  # of 20 slabs
+
+
 def test_pruned_search_is_exact():
     rng = np.random.default_rng(3)
     x = np.floor(64 * rng.normal(size=(400, 12)) * rng.exponential(size=(400, 1)) * np.linspace(2, 0.1, 12))
