@@ -1,10 +1,12 @@
 """Near-duplicate embeddings by range search in a robust-pruned flat graph.
 
-Vectors go to the shards of their two nearest centroids, so shards overlap. In each shard a flat graph is built: candidate
-neighbours, near ones and a few far ones, are pruned so that no kept edge is made needless by a much nearer kept one. A vector's
+Vectors go to the shards of their two nearest centroids, so shards overlap. Centroids are found in the space around the mean, so vectors that all
+point one way fall into as many shards as others. In each shard a flat graph is built: candidate neighbours, those that fall into the same leaves of a few
+random trees or are their neighbours, and a few far ones, are pruned so that no kept edge is made needless by a much nearer kept one. A vector's
 adjacency lists from both its shards are united: where an edge leaves the shard, its far end comes along. Then every vector of
 the shard is searched for, greedily from the shard's medoids and its own node, and from what is in range (or nearly) the
-search expands until it finds no more. All that is found is verified in doubles, and recall is audited on a sample.
+search expands until it finds no more. All that is found is verified in doubles, and recall is audited on a sample: where it falls short, the work
+is done again with a wider search, and in the end without a graph, by comparing all blocks of a label.
 
 Exact copies are one node. A shard with more than CAP members is dealt out as pairs of blocks, each a shard of its own. A pair of vectors
 that share several shards is counted in one of them alone, so tasks return counts and a forest, never all pairs of a
@@ -13,6 +15,7 @@ group; only pairs that share no shard are put out one by one.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +25,16 @@ from pyspark.sql import functions as F
 from .common import arrow_map, stage
 from .components import connected_components
 
+LOG = logging.getLogger(__name__)
 THRESHOLD = 0.93
-#: Similarity from which the search goes on from a vector; margin under the threshold.
+#: The search goes on from a vector that is so much less similar than the threshold; in a shard whose vectors are alike on average, by as much less.
 MARGIN = 0.1
-#: Vectors for each centroid; centroids at most; least and greatest size of the sample that they are chosen from (8 for each centroid between).
-PER_CENTROID, MAX_CENTROIDS, SAMPLE, MAX_SAMPLE = 4096, 16384, 16384, 131_072
+#: Vectors for each centroid; centroids at most; least and greatest size of the sample that they are chosen from (8 for each centroid between), and its bytes.
+PER_CENTROID, MAX_CENTROIDS, SAMPLE, MAX_SAMPLE, SAMPLE_BYTES = 4096, 16384, 16384, 131_072, 128 << 20
+#: Numbers of a matrix of similarities that is held at once.
+CELLS = 1 << 23
+#: Random trees, and members of a leaf at most.
+TREES, LEAF = 6, 64
 #: Members of a shard, or of each of a pair of blocks.
 CAP = 2048
 #: Out-edges, far edges among them, near candidates, pruning factor, beam, medoids.
@@ -57,31 +65,50 @@ def matrix(values) -> np.ndarray:
     return np.frombuffer(b"".join(values), "<f8").reshape(len(values), -1)
 
 
-def choose_centroids(x: np.ndarray, k: int, apart: float = 0.7, rounds: int = 3) -> np.ndarray:
-    """k centroids at most, no two nearer than `apart`, so that a tight group isn't cut up however many vectors it has."""
-    chosen: list[int] = []
-    near = np.full(len(x), -1.0)
-    for _ in range(k):
-        i = int(near.argmin())  # the vector furthest from all centroids
-        if chosen and near[i] >= apart:
+def leaders(x: np.ndarray, k: int, apart: float) -> np.ndarray:
+    """Up to k rows of x, no two nearer than `apart`, in the order of x: a tight group has one, however many vectors it has."""
+    chosen = np.zeros((0, x.shape[1]), x.dtype)
+    for lo in range(0, len(x), 256):
+        part = x[lo : lo + 256]
+        part = part[(part @ chosen.T).max(axis=1) < apart] if len(chosen) else part
+        near, own = part @ part.T, []
+        for i in range(len(part)):
+            if not own or near[i, own].max() < apart:
+                own.append(i)
+        chosen = np.concatenate([chosen, part[own]])
+        if len(chosen) >= k:
             break
-        chosen.append(i)
-        near = np.maximum(near, x @ x[i])
-    c = x[chosen]
-    for _ in range(rounds):
-        own = (x @ c.T).argmax(axis=1)
+    return chosen[:k]
+
+
+def nearest(x: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest rows of c for each row of x, nearest first; a block of rows at a time."""
+    out = np.empty((len(x), n), np.int32)
+    step = max(1, CELLS // len(c))
+    for lo in range(0, len(x), step):
+        sims = x[lo : lo + step] @ c.T
+        best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
+        order = np.argsort(-np.take_along_axis(sims, best, axis=1), axis=1, kind="stable")
+        out[lo : lo + step] = np.take_along_axis(best, order, axis=1)
+    return out
+
+
+def choose_centroids(x: np.ndarray, k: int, apart: float = THRESHOLD, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, k unit centroids at most in the space around it), by spherical k-means from leaders; x: unit vectors."""
+    start = leaders(x, k, apart)
+    mean = start.mean(axis=0)
+    size = lambda y: np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9).astype(y.dtype)
+    y, c = x - mean, start - mean
+    y, c = y / size(y), c / size(c)
+    for _ in range(rounds if len(c) > 1 else 0):
+        own = nearest(y, c, 1)[:, 0]
         sums = np.zeros_like(c)
-        np.add.at(sums, own, x)
-        size = np.linalg.norm(sums, axis=1, keepdims=True)
-        c = np.where(size > 1e-9, sums / np.maximum(size, 1e-9), c)
-    keep: list[int] = []
-    for i in range(len(c)):
-        if not keep or (c[keep] @ c[i]).max() < apart:
-            keep.append(i)
-    return c[keep]
+        np.add.at(sums, own, y)
+        c = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 1e-6, sums / size(sums), c)
+    return mean, c
 
 
-def assign_rows(centroids: dict[int, np.ndarray]):
+def assign_rows(centroids: dict[int, tuple[np.ndarray, np.ndarray]]):
     """mapInArrow: nodes -> MEMBER: the two nearest centroids of the vector's dimension (-1 without a second)."""
 
     def run(batches: Iterator) -> Iterator:
@@ -92,13 +119,10 @@ def assign_rows(centroids: dict[int, np.ndarray]):
             size = np.fromiter(map(len, vs), np.int64, len(vs))
             c1, c2 = np.zeros(len(vs), np.int32), np.full(len(vs), -1, np.int32)
             for d in np.unique(size):
-                c = centroids.get(int(d))
-                if c is not None and len(c) > 1:
+                mean, c = centroids.get(int(d), (None, ()))
+                if len(c) > 1:
                     at = np.flatnonzero(size == d)
-                    sims = matrix([vs[i] for i in at]) @ c.T
-                    two = np.argpartition(-sims, 1, axis=1)[:, :2]
-                    rows = np.arange(len(at))[:, None]
-                    two = np.take_along_axis(two, np.argsort(-sims[rows, two], axis=1, kind="stable"), axis=1)
+                    two = nearest((matrix([vs[i] for i in at]) - mean).astype(np.float32), c, 2)
                     c1[at], c2[at] = two[:, 0], two[:, 1]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(c1), pa.array(c2)], names=[x.split()[0] for x in MEMBER.split(", ")])
 
@@ -125,6 +149,56 @@ def robust_prune(x: np.ndarray, candidates: np.ndarray, sims: np.ndarray, degree
     return out
 
 
+def tree_leaves(x: np.ndarray, rng: np.random.Generator, leaf: int = LEAF) -> list[np.ndarray]:
+    """The leaves of a random tree over x: a node is cut in halves by the direction between two of its members."""
+    out, todo = [], [np.arange(len(x))]
+    while todo:
+        own = todo.pop()
+        if len(own) <= leaf:
+            out.append(own)
+            continue
+        a, b = rng.choice(own, 2, replace=False)
+        side = x[own] @ (x[a] - x[b])
+        order = np.argsort(side + 1e-9 * rng.random(len(own)).astype(x.dtype), kind="stable")  # equal ones are cut by chance
+        todo += [own[order[: len(own) // 2]], own[order[len(own) // 2 :]]]
+    return out
+
+
+def best_of(x: np.ndarray, cand: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `near` nearest of each row's candidates (-1: none), nearest first, each once, with their similarities."""
+    n = len(x)
+    ids, sims = np.full((n, near), -1, np.int64), np.full((n, near), -9.0, np.float32)
+    step = max(1, CELLS // (cand.shape[1] * x.shape[1]))
+    for lo in range(0, n, step):
+        c = np.sort(cand[lo : lo + step], axis=1)
+        c[:, 1:][c[:, 1:] == c[:, :-1]] = -1
+        c[c == np.arange(lo, lo + len(c))[:, None]] = -1
+        s = np.where(c >= 0, np.einsum("nd,nkd->nk", x[lo : lo + step], x[np.maximum(c, 0)]), np.float32(-9))
+        top = np.argsort(-s, axis=1, kind="stable")[:, :near]
+        ids[lo : lo + step, : top.shape[1]] = np.take_along_axis(c, top, axis=1)
+        sims[lo : lo + step, : top.shape[1]] = np.take_along_axis(s, top, axis=1)
+    return ids, sims
+
+
+def candidates(x: np.ndarray, near: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Near candidates of each row: the best of its leaves in each tree, then of their own best ones too."""
+    per = min(near, 12)
+    lists = []
+    for _ in range(TREES):
+        found = np.full((len(x), per), -1, np.int64)
+        for own in tree_leaves(x, rng):
+            if len(own) > 1:
+                s = x[own] @ x[own].T
+                np.fill_diagonal(s, -9)
+                k = min(per, len(own) - 1)
+                found[own, :k] = own[np.argpartition(-s, k - 1, axis=1)[:, :k]]
+        lists.append(found)
+    ids, _ = best_of(x, np.concatenate(lists, axis=1), near)
+    few = ids[:, : min(6, near)]
+    further = np.where(few[:, :, None] >= 0, ids[np.maximum(few, 0)][:, :, :8], -1).reshape(len(x), -1)
+    return best_of(x, np.concatenate([ids, further], axis=1), near)
+
+
 def build_graph(x: np.ndarray, seed: int) -> np.ndarray:
     """Adjacency [n, 2 * DEGREE] of a flat graph over unit vectors x, -1 where a list is shorter."""
     n = len(x)
@@ -132,16 +206,7 @@ def build_graph(x: np.ndarray, seed: int) -> np.ndarray:
     near, z = min(NEAR, n - 1), x.astype(np.float32)
     if near <= 0:
         return np.full((n, 2 * DEGREE), -1, np.int64)
-    cand, sims = np.empty((n, near), np.int64), np.empty((n, near), np.float32)
-    for lo in range(0, n, 512):
-        s = z[lo : lo + 512] @ z.T
-        s[np.arange(len(s)), lo + np.arange(len(s))] = -9
-        best = np.argpartition(-s, near - 1, axis=1)[:, :near]
-        rows = np.arange(len(s))[:, None]
-        order = np.argsort(-s[rows, best], axis=1, kind="stable")
-        cand[lo : lo + 512] = np.take_along_axis(best, order, axis=1)
-        sims[lo : lo + 512] = np.take_along_axis(s[rows, best], order, axis=1)
-    close = robust_prune(z, cand, sims, DEGREE - FAR, ALPHA)
+    close = robust_prune(z, *candidates(z, near, rng), DEGREE - FAR, ALPHA)
     far = rng.integers(0, n, (n, FAR))
     far[far == np.arange(n)[:, None]] = -1
     out = np.concatenate([close, far], axis=1)
@@ -157,6 +222,12 @@ def build_graph(x: np.ndarray, seed: int) -> np.ndarray:
     return np.concatenate([out, back], axis=1)
 
 
+def scaled(margin: float, x: np.ndarray) -> float:
+    """The margin in proportion to how far the mean similarity of x is from 1."""
+    mean = x.mean(axis=0, dtype=np.float64)
+    return margin * max(0.0, 1 - float(mean @ mean))
+
+
 def medoids(x: np.ndarray, number: int) -> np.ndarray:
     """The member nearest to the mean, and those nearest to the means around a few spread members."""
     seeds = [int((x @ x.mean(axis=0)).argmax())]
@@ -181,7 +252,7 @@ def range_search(x: np.ndarray, queries: int, adjacency: np.ndarray, threshold:
     n = len(x)
     z = x.astype(np.float32)
     seen, found = np.zeros((queries, n), bool), np.zeros((queries, n), bool)
-    reach = threshold - margin
+    reach = threshold - scaled(margin, x[:queries])
     starts = medoids(x[:queries], MEDOIDS)
     q = np.arange(queries)
     ids = np.concatenate([np.tile(starts, (queries, 1)), q[:, None]], axis=1)
@@ -286,7 +357,7 @@ def build_rows(table):
         other = np.where(c1[s] == shard, c2[s], c1[s])
         leaves = (other >= 0) & (c1[t] != other) & (c2[t] != other)
         src, dst, other = src[leaves], dst[leaves], other[leaves]
-        near = np.einsum("kd,kd->k", x[src], x[dst]) >= THRESHOLD - 2 * MARGIN
+        near = np.einsum("kd,kd->k", x[src], x[dst]) >= THRESHOLD - 2 * scaled(MARGIN, x)
         for a, b, o in zip(at[src[near]], at[dst[near]], other[near]):
             rows.append((label, int(o), None, None, int(node[a]), None, int(node[b]), v[b], int(w[b]), int(c1[b]), int(c2[b])))
     types = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
@@ -297,7 +368,17 @@ def build_rows(table):
 FOUND = "kind int, a long, b long, wa long, wb long"
 
 
-def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM):
+def compare_all(x: np.ndarray, queries: int, threshold: float) -> np.ndarray:
+    """What range_search finds, without a graph: bool [queries, n]."""
+    found = np.empty((queries, len(x)), bool)
+    step = max(1, CELLS // len(x))
+    for lo in range(0, queries, step):
+        found[lo : lo + step] = x[lo : min(queries, lo + step)] @ x.T >= threshold
+    found[np.arange(queries), np.arange(queries)] = True
+    return found
+
+
+def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM, exact: bool = False):
     """Cogrouped Arrow function over (members, lists) of one shard: FOUND. kind 0: node a has b more links, with wa other nodes; 1: an edge of the forest; 2: a linked pair
     that shares no shard."""
 
@@ -336,7 +417,7 @@ def search_rows(threshold: float, margin: float = MARGIN, beam_size: int = BEAM)
                 graph = np.full((len(x), max(1, width)), -1, np.int64)
                 for k, list_ in enumerate(own_lists):
                     graph[k, : len(list_)] = list_
-                found = range_search(x, n, graph, threshold, margin, beam_size)
+                found = compare_all(x, n, threshold) if exact else range_search(x, n, graph, threshold, margin, beam_size)
                 inside, cross = found[:, :n], found[:, n:]
                 inside |= inside.T.copy()
                 # A pair is counted in the least shard that both are members of, in the pair of its blocks.
@@ -383,23 +464,26 @@ def prepare(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.drop("v"), stage(nodes, "emb-nodes")
 
 
-def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int = CAP, per_centroid: int = PER_CENTROID, margin: float = MARGIN, beam_size: int = BEAM, audit: int = AUDIT, least_recall: float = LEAST_RECALL, wider: int = 2) -> DataFrame:
+def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int = CAP, per_centroid: int = PER_CENTROID, margin: float = MARGIN, beam_size: int = BEAM, audit: int = AUDIT, least_recall: float = LEAST_RECALL, wider: int = 2, exact: bool = False) -> DataFrame:
     """One row per row of embeddings: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components, rows with null label, and rows without vec_id link with nothing.
-    A sample of about `audit` vectors is compared with all; below `least_recall` the work is done again with larger clusters, margin and beam,
-    `wider` times at most; if the last result is short too, RuntimeError. Links between vectors that differ count, each once, however many copies. Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other columns
-    don't matter. Vectors of other dimensions don't link. Empty table: no rows."""
+    A sample of about `audit` vectors is compared with all, and the recall is logged; links between vectors that differ count, each once, however many copies.
+    Below `least_recall` the work is done again with larger clusters, margin and beam, `wider` times at most, and then with `exact`: no clusters and no graph, all
+    blocks of a label are compared. Rows that repeat a vec_id with the same vector and label are one vector. Labels may be any type that casts to string; other
+    columns don't matter, whatever their names. Vectors of other dimensions don't link. Empty table: no rows."""
     spark = embeddings.sparkSession
     rows, nodes = prepare(embeddings)
-    n = nodes.count()
+    n, longest = nodes.agg(F.count("*"), F.max(F.length("v"))).first()
     hashed = F.pmod(F.xxhash64("h2"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     k, by_size = min(MAX_CENTROIDS, max(1, -(-n // per_centroid))), {}
-    wanted = min(MAX_SAMPLE, max(SAMPLE, 8 * k))
-    sample = nodes.where(hashed < F.lit(min(1.0, wanted / max(1, n)))).orderBy("h2", "h1").select("v").collect()
-    for r in sample:
-        by_size.setdefault(len(r["v"]), []).append(bytes(r["v"]))
-    centroids = {d: choose_centroids(matrix(v), k) for d, v in by_size.items()}
+    centroids = {}
+    if k > 1 and not exact:
+        wanted = min(MAX_SAMPLE, max(SAMPLE, 8 * k), max(1024, SAMPLE_BYTES // longest))
+        sample = nodes.where(hashed < F.lit(min(1.0, wanted / max(1, n)))).orderBy("h2", "h1").select("v").toArrow().column("v")
+        for v in sample:
+            by_size.setdefault(len(v.as_py()), []).append(np.frombuffer(v.as_py(), "<f8").astype(np.float32))
+        centroids = {d: choose_centroids(np.stack(v), k) for d, v in by_size.items()}
     members = arrow_map(nodes, assign_rows(centroids), MEMBER)
     members = members.withColumn("shard", F.explode(F.filter(F.array("c1", "c2"), lambda c: c >= 0)))
     members = stage(members, "emb-members")
@@ -410,12 +494,13 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
     dealt = stage(dealt, "emb-dealt")
     key = ["label", "shard", "i", "j"]
-    lists = stage(dealt.groupBy(*key).applyInArrow(build_rows, LISTS), "emb-lists")
+    lists = (dealt.limit(0) if exact else dealt).groupBy(*key).applyInArrow(build_rows, LISTS)
+    lists = stage(lists, "emb-lists")
     guests = lists.where("dsts is null").drop("i", "j").join(sizes, ["label", "shard"]).withColumn("i", F.lit(0)).drop("blocks")
     guests = guests.join(dealt.where("i = j").select("label", "shard", F.col("node").alias("src"), F.col("i").alias("block")).distinct(), ["label", "shard", "src"])
     guests = guests.withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("block")
     lists = lists.where("dsts is not null").unionByName(guests)
-    found = dealt.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(search_rows(threshold, margin, beam_size), FOUND)
+    found = dealt.groupBy(*key).cogroup(lists.groupBy(*key)).applyInArrow(search_rows(threshold, margin, beam_size, exact), FOUND)
     found = stage(found, "emb-found")
     cross = found.where("kind = 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("wa")).otherwise(F.col("wb")).alias("wa"), F.when(F.col("a") < F.col("b"), F.col("wb")).otherwise(F.col("wa")).alias("wb")).dropDuplicates(["a", "b"])
     counts = found.where("kind = 0").select("a", F.col("b").alias("links"), F.col("wa").alias("near")).union(cross.select("a", F.col("wb"), F.lit(1))).union(cross.select("b", F.col("wa"), F.lit(1)))
@@ -426,9 +511,10 @@ def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, cap: int =
     if audit:
         named = stage(named, "emb-named")
         got, there = audit_nodes(nodes.withColumn("w", F.lit(1)), named.select("h1", F.col("near").alias("n_links")), threshold, audit)
-        if got < least_recall * there:
+        LOG.info("%d of %d links of sampled vectors were found%s", got, there, " by comparing all" if exact else "")
+        if got < least_recall * there and not exact:
             if not wider:
-                raise RuntimeError(f"{got} of {there} links of sampled vectors were found, which is less than least_recall = {least_recall}")
+                return link_vectors(embeddings, threshold, cap, audit=audit, least_recall=least_recall, wider=0, exact=True)
             return link_vectors(embeddings, threshold, cap, 2 * per_centroid, 2 * margin, 4 * beam_size, audit, least_recall, wider - 1)
     out = rows.join(named, ["h1", "h2"], "left")
     component = F.coalesce("component_id", "vec_id")

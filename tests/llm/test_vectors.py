@@ -111,7 +111,7 @@ def test_links_equal_brute_force(spark):
         exact = {i: (n, c) for i, n, c in want}
         assert all(r.n_links <= exact[r.vec_id][0] for r in got)  # none below the threshold
         assert sum(r.n_links for r in got) >= 0.97 * links
-        if not options:
+        if not options:  # one shard
             assert {r.vec_id: (r.n_links, r.component_id) for r in got} == exact
             with duckdb.connect() as c:
                 embeddings = df.toArrow()
@@ -129,8 +129,54 @@ def test_audit_counts_links_of_different_vectors_and_the_last_pass(spark, monkey
     monkeypatch.setattr(embedding_dedup, "audit_nodes", lambda *a: seen.append(audit_nodes(*a)) or seen[-1])
     assert sorted({r.n_links for r in embedding_dedup.link_vectors(df).collect()}) == [0, 501]
     assert seen == [(6, 6)]  # three vectors, each with two others, whatever the copies
-    with pytest.raises(RuntimeError, match="6 of 6"):
-        embedding_dedup.link_vectors(df, least_recall=1.1, wider=0)
+    seen.clear()
+    assert sorted({r.n_links for r in embedding_dedup.link_vectors(df, least_recall=1.1, wider=1).collect()}) == [0, 501]
+    assert seen == [(6, 6)] * 3  # once more, wider, and then by comparing all
+
+
+def test_links_of_all_blocks_are_exact(spark):
+    rows = planted(np.random.default_rng(9), 200, [2] * 20 + [5, 9, 60])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_vectors(df, cap=40, exact=True).collect()}
+    assert got == {i: (n, c) for i, n, c in brute_links(rows)}
+
+
+def crowd(n: int, dims: int, mean: float, seed: int) -> np.ndarray:
+    """Unit vectors with the given mean cosine to each other; every eighth has companions that link with it."""
+    rng = np.random.default_rng(seed)
+    unit = lambda y: y / np.linalg.norm(y, axis=-1, keepdims=True)
+    axis, own = unit(rng.normal(size=dims)), rng.normal(size=(n, dims))
+    own[np.arange(n) % 8 == 3] = (own[np.arange(n) % 8 == 2] + 0.2 * rng.normal(size=(n, dims))[np.arange(n) % 8 == 2])[: (np.arange(n) % 8 == 3).sum()]
+    own -= np.outer(own @ axis, axis)
+    return unit(np.sqrt(mean) * axis + np.sqrt(1 - mean) * unit(own))
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.8, 0.9])
+def test_centroids_split_vectors_of_any_mean(mean):
+    x = crowd(20_000, 64, mean, 4).astype(np.float32)
+    assert abs(float((x[:2000] @ x[2000:4000].T).mean()) - mean) < 0.03
+    m, c = embedding_dedup.choose_centroids(x, 64)
+    sizes = np.bincount(embedding_dedup.nearest(x - m, c, 1)[:, 0], minlength=len(c))
+    assert len(c) == 64 and sizes.max() < 8 * sizes.mean()
+    tight = np.concatenate([x[:1] + 0.01 * np.random.default_rng(1).normal(size=(5000, 64)).astype(np.float32), x[:100]])
+    assert len(embedding_dedup.leaders(tight / np.linalg.norm(tight, axis=1, keepdims=True), 5000, 0.93)) <= 101
+
+
+def test_links_of_many_vectors_around_one_direction(spark):
+    x = crowd(50_000, 64, 0.8, 6)
+    links, comp = np.zeros(len(x), np.int64), np.arange(len(x))
+    for lo in range(0, len(x), 2000):
+        a, b = np.nonzero(x[lo : lo + 2000] @ x.T >= 0.93)
+        a += lo
+        links += np.bincount(a[a != b], minlength=len(x))
+        np.minimum.at(comp, a, b)
+    while (comp[comp] != comp).any():
+        comp = comp[comp]
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int").repartition(8)
+    got = embedding_dedup.link_vectors(df, wider=0).orderBy("vec_id").toPandas()
+    found = got.n_links.to_numpy()
+    assert (found <= links).all() and found.sum() >= 0.95 * links.sum() and links.sum() > 10_000
+    assert (got.component_id.to_numpy() == comp).mean() >= 0.99
 
 
 def test_link_edges(spark):
