@@ -18,18 +18,19 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, doc_text, stage
+from .common import arrow_map, doc_text, split_by_keys, stage
 from .components import connected_components
 
 SEGMENTS, WIDTH, TOLERANCE, SHINGLE, SEED = 16, 4, 3, 3, 42
 #: Members of a key that one task compares at once.
 BLOCK = 8192
-#: From so many distinct fingerprints on, keys are ten segments long.
-LONG_KEYS_FROM = 1 << 25
+#: From so many distinct fingerprints on, keys are ten segments long: 336 rows a fingerprint instead of 16, which pays only where a short key has some
+#: thousands of members. The links are the same.
+LONG_KEYS_FROM = 1 << 33
 
 
 def fingerprint_rows(shingle: int = SHINGLE, seed: int = SEED):
-    """A mapInArrow function: adds _fp to the columns."""
+    """A mapInArrow function: _fp instead of the text, beside the other columns."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -58,9 +59,11 @@ def fingerprint_rows(shingle: int = SHINGLE, seed: int = SEED):
             return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little", signed=True)
 
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+            at = batch.schema.get_field_index("text")
+            texts = batch.column(at).cast(pa.binary())
             fps = [fingerprint(texts[k].as_py() or b"") for k in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], names=[*batch.schema.names, "_fp"])
+            others = [i for i in range(batch.num_columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in others], pa.array(fps, pa.int64())], names=[*[batch.schema.names[i] for i in others], "_fp"])
 
     return run
 
@@ -183,9 +186,9 @@ def links(distinct: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KE
 
 
 def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """docs (text and any other columns) with _fp, which replaces a column of that name."""
+    """docs (text and any other columns) with _fp, which replaces a column of that name, instead of text."""
     docs = docs.drop("_fp")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     return arrow_map(docs, fingerprint_rows(), schema + ", _fp long")
 
 
@@ -209,14 +212,21 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, long_keys_from: int = L
 
 def keep_one(docs: DataFrame, block: int = BLOCK, long_keys_from: int = LONG_KEYS_FROM) -> DataFrame:
     """docs with one document of each near-duplicate group, that with the least doc_id (null ids last); all columns stay. Of rows with the same
-    doc_id in a group one stays. Columns named _fp, _keep_id or _keep_fp go."""
-    docs = docs.drop("_keep_id", "_keep_fp")
-    all_ = stage(with_fingerprints(docs), "simhash-docs")
-    fps = all_.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_fp").alias("fp"))
-    first = fps.join(groups(fps, block, long_keys_from), "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))).alias("x"))
-    first = first.select(F.col("x.doc_id").alias("_keep_id"), F.col("x.fp").alias("_keep_fp"))
-    kept = all_.join(first.hint("shuffle_hash"), (F.col("_fp") == F.col("_keep_fp")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")), "left_semi")
-    return kept.dropDuplicates(["_fp", "doc_id"]).drop("_fp")
+    doc_id in a group one stays. What goes is decided on ids and hashes alone; only texts that may go are shuffled. Null, empty and very long texts as in
+    near_duplicates. Columns named _fp, _keep_id or _keep_key go. Empty table: no rows."""
+    docs = docs.drop("_fp", "_keep_id", "_keep_key")
+    own = docs.withColumns({"_keep_id": F.col("doc_id").cast("long"), "_keep_key": F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))})
+    rows = with_fingerprints(own.select(F.col("_keep_id").alias("doc_id"), F.col("_keep_key").alias("key"), F.col("text").cast("string").alias("text")))
+    rows = stage(rows.withColumnRenamed("_fp", "fp"), "simhash-fps")
+    grouped = stage(rows.join(groups(rows.select("doc_id", "fp"), block, long_keys_from).select("fp", "component"), "fp"), "simhash-grouped")
+    first = stage(grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))).alias("x")), "simhash-first")
+    gone = grouped.join(first, "component").where(~(F.col("doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("key") == F.col("x.key"))))
+    twice = rows.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1")  # equal rows; one of them stays
+    marks = stage(gone.select("doc_id", "key", F.lit(True).alias("gone")).union(twice.select("doc_id", "key", F.lit(False))), "simhash-gone")
+    near, rest = split_by_keys(own, F.col("_keep_key"), marks.select("key"))
+    out = marks.where("gone").select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"))
+    kept = near.join(out, (F.col("_keep_key") == F.col("_gone_key")) & F.col("_keep_id").eqNullSafe(F.col("_gone_id")), "left_anti")
+    return rest.unionByName(kept.dropDuplicates(["_keep_id", "_keep_key"])).drop("_keep_id", "_keep_key")
 
 
 def hex_digits(fp):
