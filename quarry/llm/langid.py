@@ -194,7 +194,8 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, per_doc: int = SAMP
     if not share:
         return EMPTY
     limit = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
-    hashed = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Rows without an id are told apart by their texts.
+    hashed = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = labelled.where(F.col("lang").isNotNull() & (hashed < F.element_at(limit, F.col("lang")))).select("lang", "text")
     rows = arrow_map(chosen, sample_stretches(per_doc), "lang string, words array<string>, lines array<long>").collect()
     samples = own_lines(sorted((r["lang"], list(r["words"]), list(r["lines"])) for r in rows if r["words"]))
@@ -311,7 +312,8 @@ def learner_rows(docs: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
 
 
 def train_and_identify(docs: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: learns from the documents whose crc32(doc_id) mod folds isn't `held`."""
+    """doc_id, held_out, lang_pred, score: learns from the documents whose crc32(doc_id) mod folds isn't `held`; rows without doc_id are not held out. Where no row has a
+    lang there is nothing to learn, and all are `und`. Nulls, ties and long texts as in `identify`. Empty table: no rows."""
     model = fit(learner_rows(docs, folds, held))
     fold = F.coalesce(crc32_mod(F.col("doc_id"), folds) == F.lit(held), F.lit(False))
     return identify(doc_text(docs), model).select("doc_id", fold.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))

@@ -26,12 +26,14 @@ KEPT_WORDS = 400_000
 LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "!-&(-/:-@\\[-`{-~"
 PLAIN, PRETOKEN = re.compile(f"[{LETTERS}0-9{MARKS} \\n\\t\\r]*"), re.compile(f"[{LETTERS}]+|[0-9]|[{MARKS}]+")
 WHITE = re.compile("[ \\t\\n\\r]+")
+#: Texts that tell whether a tokenizer works word by word.
+PROBES = ("Don't Stop  the\tWORLD", "A b\n\n12 ok! (x)", " two  \r\n Words ")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
 def encode_pieces(tokenizer: str, capacity: int, end_id: int):
-    """A mapInArrow function over (doc_id, text). The tokenizer drops white space and never joins across it, so each
-    distinct word of a task is encoded once."""
+    """A mapInArrow function over (doc_id, text). If the tokenizer lower-cases, drops white space and never joins across it, each distinct word of a task is
+    encoded once; with any other tokenizer every text is encoded as it is."""
 
     def run(batches: Iterator) -> Iterator:
         import os
@@ -70,8 +72,13 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int):
                     parts[p] = data[at:cut]
                     at = cut
 
+        ids_of = lambda text: tok.encode(text, add_special_tokens=False).ids
+        by_word = ends.any() and all(ids_of(text) == [i for w in text.lower().split() for i in ids_of(w)] for text in PROBES)
+
         def encode(text: str) -> bytes:
             """A text of plain characters falls into pre-tokens by a plain rule; of other texts, words are encoded whole."""
+            if not by_word:
+                return np.array(ids_of(text), "<u4").tobytes()
             if PLAIN.fullmatch(text):
                 words, kept = PRETOKEN.findall(text.lower()), parts
             else:
@@ -153,7 +160,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts give one piece, the end id alone. Repeated rows are packed as often as they stand. Very long
-    texts are cut into pieces of `capacity` tokens, nothing else is cut. Empty table: no rows."""
+    texts are cut into pieces of `capacity` tokens, nothing else is cut. Other columns don't matter, whatever their names. tokenizer: any tokenizer file; which of
+    equally long pieces takes which slot is not fixed. Empty table: no rows."""
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path("word_bpe_49k.json")
     pieces = stage(arrow_map(doc_text(docs), encode_pieces(tokenizer, capacity, end_id), PIECES), "pack-pieces")

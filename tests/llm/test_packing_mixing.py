@@ -137,3 +137,17 @@ def test_mix_in_order_item_by_item(spark):
             break
         want[d] += 1
     assert want == Counter({r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies})
+
+
+def test_pack_with_another_tokenizer(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    rows = [(k, t) for k, t in enumerate([*ODD, "Upper and  lower\n\tcase"])]
+    want = Counter()
+    for d, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        for k in range(0, len(ids), 2048):
+            want[d, k // 2048, zlib.crc32(np.array(ids[k : k + 2048], "<u4").tobytes())] += 1
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer=path).collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in got) == want
