@@ -31,9 +31,18 @@ PROBES = ("Don't Stop  the\tWORLD", "A b\n\n12 ok! (x)", " two  \r\n Words ")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
-def encode_pieces(tokenizer: str, capacity: int, end_id: int):
-    """A mapInArrow function over (doc_id, text). If the tokenizer lower-cases, drops white space and never joins across it, each distinct word of a task is
-    encoded once; with any other tokenizer every text is encoded as it is."""
+def works_by_word(tokenizer: str) -> bool:
+    """Whether a tokenizer lower-cases, drops white space and never joins across it, and marks the ends of words."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer)
+    ids = lambda text: tok.encode(text, add_special_tokens=False).ids
+    return any(w.endswith("</w>") for w in tok.get_vocab()) and all(ids(text) == [i for w in text.lower().split() for i in ids(w)] for text in PROBES)
+
+
+def encode_pieces(tokenizer: str, capacity: int, end_id: int, by_word: bool = True):
+    """A mapInArrow function over (doc_id, text). by_word: the tokenizer works word by word, so each distinct word of a task is encoded once; else every text is
+    encoded as it is."""
 
     def run(batches: Iterator) -> Iterator:
         import os
@@ -72,13 +81,8 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int):
                     parts[p] = data[at:cut]
                     at = cut
 
-        ids_of = lambda text: tok.encode(text, add_special_tokens=False).ids
-        by_word = ends.any() and all(ids_of(text) == [i for w in text.lower().split() for i in ids_of(w)] for text in PROBES)
-
         def encode(text: str) -> bytes:
             """A text of plain characters falls into pre-tokens by a plain rule; of other texts, words are encoded whole."""
-            if not by_word:
-                return np.array(ids_of(text), "<u4").tobytes()
             if PLAIN.fullmatch(text):
                 words, kept = PRETOKEN.findall(text.lower()), parts
             else:
@@ -94,11 +98,15 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int):
                 kept.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False)))
             return b"".join(map(kept.__getitem__, words))
 
+        def encode_whole(text: str) -> bytes:
+            return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        encoded = encode if by_word else encode_whole
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             out: list[list] = [[] for _ in range(7)]
             for k in range(len(ids)):
-                data = encode(texts[k].as_py() or "") + end
+                data = encoded(texts[k].as_py() or "") + end
                 for piece, lo in enumerate(range(0, len(data), step)):
                     part = data[lo : lo + step]
                     n = len(part) // 4
@@ -164,7 +172,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
     equally long pieces takes which slot is not fixed. Empty table: no rows."""
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path("word_bpe_49k.json")
-    pieces = stage(arrow_map(doc_text(docs), encode_pieces(tokenizer, capacity, end_id), PIECES), "pack-pieces")
+    pieces = stage(arrow_map(doc_text(docs), encode_pieces(tokenizer, capacity, end_id, works_by_word(tokenizer)), PIECES), "pack-pieces")
     by_task = stage(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "pack-counts")
     counts = {int(r["length"]): int(r["n"]) for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     runs = plan(counts, capacity)
