@@ -21,6 +21,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a task keeps at most before it starts anew; bounds the memory of a worker, not what is encoded.
 KEPT_WORDS = 400_000
+#: Characters of texts whose new words are encoded together, about.
+GROUP_CHARS = 1 << 18
 #: Plain texts: Latin letters, digits, ASCII marks but the apostrophe, ASCII white space. Their pre-tokens are runs of letters,
 #: single digits and runs of marks.
 LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "!-&(-/:-@\\[-`{-~"
@@ -48,6 +50,7 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int, by_word: bool = Tr
         import os
         import zlib
         from collections import Counter
+        from itertools import chain
 
         import numpy as np
         import pyarrow as pa
@@ -67,50 +70,66 @@ def encode_pieces(tokenizer: str, capacity: int, end_id: int, by_word: bool = Tr
         ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
+        def fast(texts: list[str]) -> list:
+            return tok.encode_batch_fast(texts, add_special_tokens=False)
+
         def learn(fresh: list[str]) -> None:
             """Encodes pre-tokens many at a time; as each ends in an id of a word's end, their ids come apart again."""
             for lo in range(0, len(fresh), 512):
                 some = fresh[lo : lo + 512]
-                ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+                ids = np.array(fast([" ".join(some)])[0].ids, "<u4")
                 cuts = np.flatnonzero(ends[ids]) + 1
                 if len(cuts) != len(some):  # not a vocabulary with word ends
-                    parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False)))
+                    parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, fast(some)))
                     continue
                 data, at = ids.tobytes(), 0
                 for p, cut in zip(some, (4 * cuts).tolist()):
                     parts[p] = data[at:cut]
                     at = cut
 
-        def encode(text: str) -> bytes:
-            """A text of plain characters falls into pre-tokens by a plain rule; of other texts, words are encoded whole."""
-            if PLAIN.fullmatch(text):
-                words, kept = PRETOKEN.findall(text.lower()), parts
-            else:
-                words, kept = WHITE.split(text), whole
-            new = set(words).difference(kept)
-            if len(kept) + len(new) > KEPT_WORDS:
-                kept.clear()
-                new = set(words)
-            if new and kept is parts:
-                learn(list(new))
-            elif new:
-                some = list(new)
-                kept.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False)))
-            return b"".join(map(kept.__getitem__, words))
-
-        def encode_whole(text: str) -> bytes:
-            return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        def learn_whole(fresh: list[str]) -> None:
+            whole.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(fresh, fast(fresh)))
+
+        def encode(texts: list[str]) -> Iterator[bytes]:
+            """Texts of plain characters fall into pre-tokens by a plain rule; of other texts, words are encoded whole. New words of all texts are encoded together."""
+            split = [(PRETOKEN.findall(t.lower()), parts) if PLAIN.fullmatch(t) else (WHITE.split(t), whole) for t in texts]
+            for kept, learner in ((parts, learn), (whole, learn_whole)):
+                new: set[str] = set()
+                for words in (words for words, own in split if own is kept):
+                    new.update(set(words).difference(kept))
+                if len(kept) + len(new) > KEPT_WORDS:
+                    kept.clear()
+                    new.update(*[words for words, own in split if own is kept])
+                if new:
+                    learner(list(new))
+            for words, kept in split:
+                yield b"".join(map(kept.__getitem__, words))
+
+        def encode_whole(texts: list[str]) -> Iterator[bytes]:
+            for text in texts:
+                yield np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        def groups(texts) -> Iterator[list[str]]:
+            group, size = [], 0
+            for k in range(len(texts)):
+                group.append(texts[k].as_py() or "")
+                size += len(group[-1])
+                if size >= GROUP_CHARS:
+                    yield group
+                    group, size = [], 0
+            if group:
+                yield group
 
         encoded = encode if by_word else encode_whole
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             out: list[list] = [[] for _ in range(7)]
-            for k in range(len(ids)):
-                data = encoded(texts[k].as_py() or "") + end
+            for doc_id, data in zip(ids, chain.from_iterable(map(encoded, groups(texts)))):
+                data += end
                 for piece, lo in enumerate(range(0, len(data), step)):
                     part = data[lo : lo + step]
                     n = len(part) // 4
-                    for column, v in zip(out, (ids[k], piece, lo // 4, n, zlib.crc32(part), task, seen[n])):
+                    for column, v in zip(out, (doc_id, piece, lo // 4, n, zlib.crc32(part), task, seen[n])):
                         column.append(v)
                     seen[n] += 1
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])

@@ -151,3 +151,60 @@ def test_pack_with_another_tokenizer(spark):
             want[d, k // 2048, zlib.crc32(np.array(ids[k : k + 2048], "<u4").tobytes())] += 1
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer=path).collect()
     assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in got) == want
+
+
+def encoded_alone(texts):
+    """(doc_id, piece, start, length, crc32) of texts, each encoded as a whole."""
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tok.encode_special_tokens = True
+    for d, t in enumerate(texts):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            yield d, k // 2048, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())
+
+
+def pieces_of(texts, batch=100):
+    import pyarrow as pa
+
+    table = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    fn = packing.encode_pieces(public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+    return [tuple(r.values())[:5] for b in fn(iter(table.to_batches(max_chunksize=batch))) for r in b.to_pylist()]
+
+
+def test_new_words_of_texts_are_encoded_together(monkeypatch):
+    import tokenizers
+
+    calls = []
+
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.get_vocab = tok, tok.get_vocab
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(Tokenizer.from_file(path))
+
+        def encode(self, text, **kw):
+            calls.append(text)
+            return self.tok.encode(text, **kw)
+
+        def encode_batch_fast(self, texts, **kw):
+            calls.append(texts)
+            return self.tok.encode_batch_fast(texts, **kw)
+
+    texts = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)} text" for k in range(500)]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    assert pieces_of(texts) == list(encoded_alone(texts))
+    assert len(calls) <= 5  # one a batch; before, one a text
+
+
+def test_groups_of_texts_and_a_full_store_of_words(monkeypatch):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeÉ'1!") for _ in range(rng.randint(1, 7)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 60))) for _ in range(150)] + ODD
+    rng.shuffle(texts)
+    for kept, group in ((30, 400), (400_000, 1), (1, 1 << 18)):
+        monkeypatch.setattr(packing, "KEPT_WORDS", kept)
+        monkeypatch.setattr(packing, "GROUP_CHARS", group)
+        assert pieces_of(texts, 40) == list(encoded_alone(texts))
